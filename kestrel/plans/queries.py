@@ -274,10 +274,11 @@ def linear_fit(spark: SparkSession, d: str) -> DataFrame:
 def stream_linear_fit(spark: SparkSession, d: str) -> DataFrame:
     """The same line computed by a Structured Streaming query over a file
     stream of ``"x y"`` messages (SRC10 STM1-STM5 SNK6)."""
-    import os
     from kestrel.streaming import regression
     schema = load(spark, d, "events").schema
-    stream = spark.readStream.schema(schema).parquet(os.path.join(d, "events.parquet"))
+    # A file stream watches a folder; only the events file of it is read.
+    stream = regression.read_stream(spark, d, fmt="parquet", schema=schema,
+                                    pathGlobFilter="events.parquet")
     points = regression.parse_points(tables.point_messages(stream))
     table = regression.run_to_table(spark, regression.running_fit(points))
     return table.select("n", fixed("slope", 9).alias("slope"),
