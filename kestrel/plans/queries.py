@@ -491,3 +491,88 @@ QUERIES = {
     "fk_audit": fk_audit,
     "null_audit": null_audit,
 }
+
+
+# ------------------------------------------------------------- ML (A10)
+# Model scores vary with partitioning even when seeded, so these have no
+# SQL oracle; the driver checks their rows and schema.
+
+def _labelled_colours(spark, d):
+    c = tables.part_colours(load(spark, d, "part"))
+    return c.withColumn("word", colour.nearest_colour_word())
+
+
+def ml_colour_scores(spark: SparkSession, d: str) -> DataFrame:
+    """RGB -> word and RGB -> LAB (SQL stage) -> word MLP classifiers,
+    validation f1 of each (ML1-ML3 ML5 ML7 ML8 ML12 UDF4)."""
+    from kestrel.ml import pipelines
+    return pipelines.colour_models(_labelled_colours(spark, d))
+
+
+def ml_label_scores(spark: SparkSession, d: str) -> DataFrame:
+    """MLP on the embedding vectors predicting their label; split sizes and f1."""
+    from kestrel.ml import pipelines
+    return pipelines.vector_label_scores(load(spark, d, "embeddings"), "embedding", "label")
+
+
+def _daily_series(spark, d):
+    """Daily max value per user as a station series; per-user constants
+    stand in for latitude, longitude and elevation."""
+    ev = load(spark, d, "events")
+    uid = F.col("user_id")
+    return ev.groupBy(uid.cast("string").alias("station"), F.to_date("ts").alias("date")) \
+        .agg(F.max("value").alias("tmax"),
+             F.first(((uid % 180) - 90).cast("float")).alias("latitude"),
+             F.first((((uid * 7) % 360) - 180).cast("float")).alias("longitude"),
+             F.first(((uid * 13) % 1000).cast("float")).alias("elevation"))
+
+
+def _fit_tmax(spark, d):
+    from kestrel.ml import pipelines
+    from kestrel.session import scratch_path
+    daily = _daily_series(spark, d)
+    data = pipelines.tmax_features(daily)
+    train, valid = pipelines.split(data)
+    model = pipelines.forest_pipeline().fit(train)
+    model = pipelines.save_and_load(model, scratch_path(spark, "tmax_model"))
+    return daily, train, valid, model
+
+
+def ml_next_day(spark: SparkSession, d: str) -> DataFrame:
+    """Random-forest model of tomorrow's max from yesterday's; saved, loaded,
+    then used to predict the day after the last one for every user
+    (ML6 ML7 ML10 RE3 JN6)."""
+    daily, _, _, model = _fit_tmax(spark, d)
+    from kestrel.ml import pipelines
+    pred = model.transform(pipelines.tomorrow_inputs(daily))
+    return pred.select("station", F.date_format("date", DAY).alias("date"),
+                       "yesterday_tmax", F.col("prediction").alias("predicted_tmax"))
+
+
+def ml_next_day_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Validation R^2 and RMSE, and the most important feature (ML9 ML11)."""
+    from kestrel.ml import pipelines
+    _, train, valid, model = _fit_tmax(spark, d)
+    r2, rmse = pipelines.regression_scores(model.transform(valid))
+    imp = pipelines.feature_importances(model)
+    top = max(imp, key=imp.get)
+    return spark.createDataFrame([(r2, rmse, top, imp[top])],
+                                 "r2 double, rmse double, top_feature string, importance double")
+
+
+def ml_grid(spark: SparkSession, d: str) -> DataFrame:
+    """A 256 x 256 LAB slice at L=70 scored by the RGB colour model trained
+    on the part colours, with the predicted word attached (RE4 ML4)."""
+    from kestrel.ml import pipelines
+    model = pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)) \
+        .fit(_labelled_colours(spark, d))
+    return pipelines.grid_predictions(model, colour.lab_grid(spark, 70.0, 256))
+
+
+QUERIES.update({
+    "ml_colour_scores": ml_colour_scores,
+    "ml_label_scores": ml_label_scores,
+    "ml_next_day": ml_next_day,
+    "ml_next_day_scores": ml_next_day_scores,
+    "ml_grid": ml_grid,
+})
