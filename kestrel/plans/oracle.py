@@ -230,3 +230,37 @@ ORACLE = {
         UNPIVOT (n_nulls FOR column_name IN (o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                                              o_orderdate, o_orderpriority))""",
 }
+
+
+_WEATHER = """
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS station, strftime(ts, '%Y%m%d') AS date,
+         CASE WHEN event_type = 'purchase' THEN 'TMAX' WHEN event_type = 'click' THEN 'TMIN'
+              ELSE upper(event_type) END AS observation,
+         CAST(round(value * 10) AS INTEGER) AS value,
+         CASE WHEN value > 45 THEN 'X' END AS qflag
+  FROM events"""
+
+_TEMP_RANGE = f"""
+  WITH d AS (SELECT date, station,
+                    max(CASE WHEN observation = 'TMAX' THEN value END) AS tmax,
+                    min(CASE WHEN observation = 'TMIN' THEN value END) AS tmin
+             FROM ({_WEATHER}) WHERE qflag IS NULL GROUP BY 1, 2),
+       r AS (SELECT date, station, (tmax - tmin) / 10.0 AS range FROM d
+             WHERE tmax IS NOT NULL AND tmin IS NOT NULL),
+       m AS (SELECT date, max(range) AS mr FROM r GROUP BY 1)
+  SELECT r.date, r.station, (floor((r.range) * 1e4 + 0.5) / 1e4) AS range
+  FROM r JOIN m ON r.date = m.date AND r.range = m.mr ORDER BY 1, 2"""
+
+_LOG_ROWS = f"""
+  SELECT host, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, path, bytes FROM ({_PARSED})"""
+
+ORACLE.update({
+    "temp_range_csv": _TEMP_RANGE,
+    "json_source_average": """SELECT c_mktsegment AS subreddit,
+        (floor((avg(c_acctbal)) * 1e6 + 0.5) / 1e6) AS avg_score, CAST(0 AS BIGINT) AS n_gilded
+        FROM customer GROUP BY 1""",
+    "text_source_wordcount": f"SELECT word, count(*) AS n FROM ({_WORDS_WS}) GROUP BY word",
+    "log_ingest": f"""SELECT sha256(concat_ws(chr(1), host, datetime, path, CAST(bytes AS VARCHAR))) AS id,
+        host, datetime, path, bytes FROM ({_LOG_ROWS})""",
+    "host_correlation_from_table": ORACLE["host_correlation"],
+})

@@ -576,3 +576,90 @@ QUERIES.update({
     "ml_next_day_scores": ml_next_day_scores,
     "ml_grid": ml_grid,
 })
+
+
+# ---------------------------------------------- sources and sinks round trips
+
+def temp_range_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Weather readings written as header-less CSV, read back with an
+    explicit schema, then the widest daily range per day (SNK2 SRC3 FLT4
+    JN4 SRT3)."""
+    from kestrel.operators import weather
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path = scratch_path(spark, "weather_csv")
+    sinks.write_csv(tables.weather_observations(load(spark, d, "events")), path)
+    obs = files.read_csv(spark, path, weather.WEATHER_SCHEMA)
+    return weather.widest_range_per_day(obs).select("date", "station", fixed("range", 4).alias("range"))
+
+
+def json_source_average(spark: SparkSession, d: str) -> DataFrame:
+    """Customers written as gzip JSON lines and read back with a fixed
+    schema that names a key the files lack (NULL); average balance per
+    segment (SNK3 SRC5 AGG3)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path = scratch_path(spark, "customer_json")
+    sinks.write_json(load(spark, d, "customer").select(
+        F.col("c_mktsegment").alias("subreddit"), F.col("c_acctbal").alias("score"),
+        F.col("c_name").alias("author")), path, compression="gzip")
+    rows = files.read_json(spark, path, "subreddit string, score double, author string, "
+                                        "gilded long")
+    return rows.groupBy("subreddit").agg(
+        fixed(F.avg("score"), 6).alias("avg_score"), F.count("gilded").alias("n_gilded"))
+
+
+def text_source_wordcount(spark: SparkSession, d: str) -> DataFrame:
+    """Document text written as plain text files, read back as lines, then
+    the whitespace word count (SNK1 SRC1 STR1 AGG1)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path = scratch_path(spark, "documents_txt")
+    sinks.write_lines(load(spark, d, "documents").select("text"), path)
+    words = text.explode_words(files.read_lines(spark, path), "value")
+    return aggregate.count_by_key(words, "word", "n")
+
+
+def _ingest_logs(spark, d):
+    """RE1: access-log text as gzip files -> parsed rows with repeatable ids
+    -> appended to a table partitioned by day; returns the table path."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    raw = scratch_path(spark, "logs_gz")
+    sinks.write_lines(tables.access_log_lines(load(spark, d, "events")), raw,
+                      compression="gzip")
+    parsed = logs.parse_log_lines(files.read_lines(spark, raw))
+    rows = logs.with_row_id(parsed.select(
+        "host", F.date_format("datetime", logs.OUT_TIME_FORMAT).alias("datetime"),
+        "path", "bytes"), ["host", "datetime", "path", "bytes"])
+    table = scratch_path(spark, "nasalogs")
+    sinks.append_table(rows.withColumn("day", F.substring("datetime", 1, 10)), table,
+                       partition_by=["day"])
+    return table
+
+
+def log_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the ingested log table (RE1: SRC2 STR6 DAT3 UID1 SNK5 SRC9)."""
+    from kestrel.sources import files
+    table = files.read_table(spark, _ingest_logs(spark, d))
+    return table.select("id", "host", "datetime", "path", "bytes")
+
+
+def host_correlation_from_table(spark: SparkSession, d: str) -> DataFrame:
+    """Request count vs bytes correlation read from the ingested log table
+    (SRC9 AGG6 AGG7 AGG8)."""
+    from kestrel.sources import files
+    table = files.read_table(spark, _ingest_logs(spark, d))
+    per_host = aggregate.count_and_sum(table, "host", "bytes", "n_requests", "sum_bytes")
+    c = stats.correlation(per_host, "n_requests", "sum_bytes")
+    return c.select(F.col("n").alias("n_hosts"), fixed("r", 6).alias("r"),
+                    fixed("r2", 6).alias("r2"))
+
+
+QUERIES.update({
+    "temp_range_csv": temp_range_csv,
+    "json_source_average": json_source_average,
+    "text_source_wordcount": text_source_wordcount,
+    "log_ingest": log_ingest,
+    "host_correlation_from_table": host_correlation_from_table,
+})

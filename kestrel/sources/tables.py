@@ -58,3 +58,22 @@ def point_messages(events: DataFrame) -> DataFrame:
     """``"x y"`` text messages from events (x = props.k, y = value)."""
     k = F.get_json_object("props", "$.k")
     return events.select(F.concat_ws(" ", k, F.col("value").cast("string")).alias("value"))
+
+
+def weather_observations(events: DataFrame) -> DataFrame:
+    """Weather-station readings shaped from events: station 'U' || user_id,
+    date yyyyMMdd, purchase -> TMAX and click -> TMIN (others keep their type
+    in upper case), value in tenths, quality flag 'X' on readings above 45
+    (suspect highs)."""
+    obs = F.when(F.col("event_type") == "purchase", F.lit("TMAX")) \
+        .when(F.col("event_type") == "click", F.lit("TMIN")) \
+        .otherwise(F.upper("event_type"))
+    return events.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("station"),
+        F.date_format("ts", "yyyyMMdd").alias("date"),
+        obs.alias("observation"),
+        F.round(F.col("value") * 10).cast("int").alias("value"),
+        F.lit(None).cast("string").alias("mflag"),
+        F.when(F.col("value") > 45, F.lit("X")).alias("qflag"),
+        F.lit("S").alias("sflag"),
+        F.date_format("ts", "HHmm").alias("obstime"))
