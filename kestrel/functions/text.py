@@ -38,11 +38,24 @@ def split_lower_words(text, unicode: bool = False) -> Column:
 
 
 def explode_words(df: DataFrame, text: str, out: str = "word",
-                  tokens: Column | None = None) -> DataFrame:
-    """Row -> one row per token (PRJ7).  Only the token column is kept, so
-    the scan below reads just ``text``."""
-    toks = tokens if tokens is not None else split_words(text)
-    return df.select(F.explode(toks).alias(out))
+                  tokens: Column | None = None, lower: bool = False,
+                  punct: bool = False, unicode: bool = False) -> DataFrame:
+    """Row -> one row per non-empty token (PRJ7, FLT7).
+
+    By default splits on whitespace (STR1); ``punct`` also splits on
+    punctuation and ``lower`` lower-cases first (STR2, STR3).  Empty tokens
+    are dropped *after* the explode -- a plain filter inside the codegen
+    stage, cheaper than a lambda over each array.  Only the token column is
+    kept, so the scan below reads just ``text``.
+    """
+    if tokens is not None:
+        return df.select(F.explode(tokens).alias(out))
+    if punct:
+        pattern = UNICODE_PUNCT_OR_SPACE if unicode else PUNCT_OR_SPACE
+    else:
+        pattern = UNICODE_WHITESPACE if unicode else WHITESPACE
+    src = F.lower(_col(text)) if lower else _col(text)
+    return df.select(F.explode(F.split(src, pattern)).alias(out)).filter(F.col(out) != F.lit(""))
 
 
 def split_trim(text, sep: str) -> Column:

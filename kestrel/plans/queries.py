@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kestrel.functions import colour, logs, text
 from kestrel.functions.numeric import fixed
 from kestrel.operators import aggregate, audit, etl, graph, joins, peaks, scan, stats
+from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.sources import tables
 from kestrel.sources.tables import load
 
@@ -27,24 +28,29 @@ def _hour(ts: str = "ts"):
 
 # --------------------------------------------------------------- text (A1, A2)
 
+def _documents(spark, d):
+    """Document text, spread over the cores when the file gives too few splits."""
+    return spread_for_cpu(load(spark, d, "documents").select("text"))
+
+
 def wordcount_ws(spark: SparkSession, d: str) -> DataFrame:
     """Whitespace tokens per word, sorted by word (STR1 PRJ7 FLT7 AGG1 SRT1)."""
-    words = text.explode_words(load(spark, d, "documents"), "text")
+    words = text.explode_words(_documents(spark, d), "text")
     return aggregate.count_by_key(words, "word", "n").orderBy("word")
 
 
 def wordcount_punct(spark: SparkSession, d: str) -> DataFrame:
     """Lower-cased words split on punctuation/whitespace (STR2 STR3 FLT7 AGG1)."""
-    docs = load(spark, d, "documents")
-    words = text.explode_words(docs, "text", tokens=text.split_lower_words("text"))
+    docs = _documents(spark, d)
+    words = text.explode_words(docs, "text", lower=True, punct=True)
     return aggregate.count_by_key(words, "word", "n").orderBy("word")
 
 
 def within_partition_sort(spark: SparkSession, d: str, reducers: int = 3) -> DataFrame:
     """Word counts laid out as a MapReduce job writes them: hashed into
     ``reducers`` partitions, each sorted by word, no global order (SRT4)."""
-    docs = load(spark, d, "documents")
-    words = text.explode_words(docs, "text", tokens=text.split_lower_words("text"))
+    docs = _documents(spark, d)
+    words = text.explode_words(docs, "text", lower=True, punct=True)
     counts = aggregate.count_by_key(words, "word", "n")
     return counts.repartition(reducers, "word").sortWithinPartitions("word")
 
@@ -616,7 +622,7 @@ def text_source_wordcount(spark: SparkSession, d: str) -> DataFrame:
     from kestrel.sources import files, sinks
     path = scratch_path(spark, "documents_txt")
     sinks.write_lines(load(spark, d, "documents").select("text"), path)
-    words = text.explode_words(files.read_lines(spark, path), "value")
+    words = text.explode_words(spread_for_cpu(files.read_lines(spark, path)), "value")
     return aggregate.count_by_key(words, "word", "n")
 
 
@@ -628,7 +634,7 @@ def _ingest_logs(spark, d):
     raw = scratch_path(spark, "logs_gz")
     sinks.write_lines(tables.access_log_lines(load(spark, d, "events")), raw,
                       compression="gzip")
-    parsed = logs.parse_log_lines(files.read_lines(spark, raw))
+    parsed = logs.parse_log_lines(spread_for_cpu(files.read_lines(spark, raw)))
     rows = logs.with_row_id(parsed.select(
         "host", F.date_format("datetime", logs.OUT_TIME_FORMAT).alias("datetime"),
         "path", "bytes"), ["host", "datetime", "path", "bytes"])

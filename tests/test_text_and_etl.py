@@ -13,7 +13,11 @@ def _words(spark, lines, unicode=False, punct=False):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     toks = (text.split_lower_words("value", unicode) if punct
             else text.split_words("value", unicode))
-    return [r.word for r in text.explode_words(df, "value", tokens=toks).collect()]
+    via_arrays = [r.word for r in text.explode_words(df, "value", tokens=toks).collect()]
+    direct = [r.word for r in text.explode_words(df, "value", lower=punct, punct=punct,
+                                                 unicode=unicode).collect()]
+    assert via_arrays == direct
+    return direct
 
 
 def test_whitespace_split_drops_empty_tokens(spark):
