@@ -28,6 +28,19 @@ def split(df: DataFrame, weights=(0.75, 0.25), seed: int = SEED):
     return df.randomSplit(list(weights), seed)
 
 
+def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the training rows persisted for the duration of the fit:
+    iterative learners (L-BFGS, tree levels) pass over them many times, and
+    each pass should use every core, so a single-split input is spread."""
+    from pyspark import StorageLevel
+    from kestrel.operators.partitioning import spread_for_cpu
+    cached = spread_for_cpu(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 # ----------------------------------------------------------- classification
 
 def mlp_pipeline(features: list[str], label: str, n_classes: int, hidden: int = 30,
@@ -68,7 +81,7 @@ def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
     for name, feats, sql in (
             ("rgb", ["R", "G", "B"], None),
             ("lab", ["labL", "labA", "labB"], colour.lab_statement(["R", "G", "B", "word"]))):
-        model = mlp_pipeline(feats, "word", n, sql=sql, seed=seed).fit(train)
+        model = fit_cached(mlp_pipeline(feats, "word", n, sql=sql, seed=seed), train)
         rows.append((name, float(f1_score(model.transform(valid)))))
     return spark.createDataFrame(rows, "model string, f1 double")
 
@@ -86,7 +99,7 @@ def vector_label_scores(df: DataFrame, vector: str, label: str, seed: int = SEED
         MultilayerPerceptronClassifier(layers=[dim, 30, n_classes + 1], maxIter=100,
                                        blockSize=128, seed=seed, labelCol="label_index",
                                        featuresCol="features_in")])
-    model = pipe.fit(train)
+    model = fit_cached(pipe, train)
     score = float(f1_score(model.transform(valid)))
     return spark.createDataFrame([(train.count(), valid.count(), score)],
                                  "n_train long, n_valid long, f1 double")

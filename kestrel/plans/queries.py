@@ -539,7 +539,7 @@ def _fit_tmax(spark, d):
     daily = _daily_series(spark, d)
     data = pipelines.tmax_features(daily)
     train, valid = pipelines.split(data)
-    model = pipelines.forest_pipeline().fit(train)
+    model = pipelines.fit_cached(pipelines.forest_pipeline(), train)
     model = pipelines.save_and_load(model, scratch_path(spark, "tmax_model"))
     return daily, train, valid, model
 
@@ -570,8 +570,9 @@ def ml_grid(spark: SparkSession, d: str) -> DataFrame:
     """A 256 x 256 LAB slice at L=70 scored by the RGB colour model trained
     on the part colours, with the predicted word attached (RE4 ML4)."""
     from kestrel.ml import pipelines
-    model = pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)) \
-        .fit(_labelled_colours(spark, d))
+    model = pipelines.fit_cached(
+        pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)),
+        _labelled_colours(spark, d))
     return pipelines.grid_predictions(model, colour.lab_grid(spark, 70.0, 256))
 
 

@@ -128,7 +128,11 @@ def write_partitioned(df: DataFrame, name: str, partition_by: list[str],
     """Write ``df`` as a partitioned folder in the shared scratch area and
     return its path (partition layout for pruning, CAT4)."""
     path = path or scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path)
+    # Rebalance on the partition columns first: each task then writes few
+    # partition folders (not every task into every folder), and AQE splits
+    # an oversized partition so files stay bounded.
+    df.hint("rebalance", *partition_by).write.mode("overwrite") \
+        .partitionBy(*partition_by).format(fmt).save(path)
     return path
 
 
