@@ -92,5 +92,19 @@ def path_to(paths: DataFrame, target: int) -> DataFrame:
 
 def rounds_table(paths: DataFrame) -> DataFrame:
     """Per-round view of the search (GRF4): the rows known after round k
-    are those with ``distance <= k``; write with ``partitionBy('distance')``."""
+    are those with ``distance <= k``."""
     return paths.select("node", "source", "distance")
+
+
+def write_rounds(paths: DataFrame, output: str, fmt: str = "csv") -> None:
+    """Write the search as one table partitioned by round (GRF4): folder
+    ``distance=k`` holds the nodes first reached in round k, so the state
+    after round k is ``distance <= k`` -- one write instead of one full copy
+    per round."""
+    rounds_table(paths).write.mode("overwrite").partitionBy("distance").format(fmt).save(output)
+
+
+def write_path(paths: DataFrame, target: int, output: str) -> None:
+    """Write the path to ``target`` as text, one node per line, in order (GRF5)."""
+    path_to(paths, target).orderBy("step").select(F.col("node").cast("string").alias("value")) \
+        .coalesce(1).write.mode("overwrite").text(output)

@@ -57,6 +57,22 @@ def running_fit(points: DataFrame) -> DataFrame:
                       F.regr_intercept("y", "x").alias("intercept"))
 
 
+def run_to_console(result: DataFrame, seconds: float = 600,
+                   checkpoint: str | None = None) -> None:
+    """Print the running result to the console each trigger, in complete
+    mode, for a bounded time (SNK6, STM4)."""
+    spark = result.sparkSession
+    checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams",
+                                            f"console_{uuid.uuid4().hex[:8]}")
+    q = result.writeStream.outputMode("complete").format("console") \
+        .option("checkpointLocation", checkpoint).start()
+    try:
+        q.awaitTermination(seconds)
+    finally:
+        if q.isActive:
+            q.stop()
+
+
 def run_to_table(spark: SparkSession, result: DataFrame, name: str | None = None,
                  available_now: bool = True, timeout: float | None = 600,
                  checkpoint: str | None = None) -> DataFrame:

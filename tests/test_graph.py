@@ -36,3 +36,14 @@ def test_path_and_unreachable(spark):
 def test_stop_at_target(spark):
     p = graph.bfs(spark, _edges(spark), 1, target=3)
     assert max(r.distance for r in p.collect()) == 1
+
+
+def test_rounds_written_partitioned_and_path_file(spark, tmp):
+    import os
+    p = graph.bfs(spark, _edges(spark), 1)
+    out = os.path.join(tmp, "rounds")
+    graph.write_rounds(p, out)
+    back = spark.read.csv(out, schema="node bigint, source bigint, distance int")
+    assert [back.filter(f"distance <= {k}").count() for k in (0, 1, 2, 3)] == [1, 3, 4, 5]
+    graph.write_path(p, 4, os.path.join(tmp, "path"))
+    assert [r.value for r in spark.read.text(os.path.join(tmp, "path")).collect()] == ["1", "3", "2", "4"]

@@ -98,3 +98,24 @@ def test_star_schema_typed_tables_and_varchar_check(spark, tmp):
     rows = spark.table("star.amenities").orderBy("amenid").collect()
     assert len(rows) == 2 and rows[1].amenid == "a1".ljust(11) and rows[1].ts is not None  # CHAR pads
     catalog.drop_schema(spark, "star")
+
+
+def test_declared_struct_vs_variant(spark, tmp):
+    """A declared STRUCT rejects an unknown field; a semi-structured value
+    gives NULL for a missing key."""
+    from kestrel.operators import etl
+    p = os.path.join(tmp, "amen.json")
+    with open(p, "w") as f:
+        f.write('{"amenid": "a1", "tags": {"brand": "x", "cuisine": "thai"}}\n')
+        f.write('{"amenid": "a2", "tags": {"brand": "y"}}\n')
+    catalog.create_table(spark, "ext_amenities", "amenid STRING, tags STRUCT<brand: STRING, cuisine: STRING>",
+                         fmt="json", location=p)
+    t = spark.table("ext_amenities")
+    assert sorted((r.amenid, r.tags.cuisine) for r in t.collect()) == [("a1", "thai"), ("a2", None)]
+    with pytest.raises(Exception):
+        t.select("tags.operator").collect()
+    raw = spark.read.text(p)
+    v = raw.select(etl.variant_path("value", "$.tags.operator", "string").alias("op")).collect()
+    assert [r.op for r in v] == [None, None]
+    catalog.drop_table(spark, "ext_amenities")
+    assert os.path.exists(p)
