@@ -126,7 +126,7 @@ _CROSSING = """
     FROM events) WHERE run >= 500 GROUP BY user_id"""
 
 _FIT = """
-  SELECT regr_count(value, CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS n,
+  SELECT CAST(regr_count(value, CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS BIGINT) AS n,
          (floor((regr_slope(value, CAST(json_extract_string(props, '$.k') AS DOUBLE))) * 1e9 + 0.5) / 1e9) AS slope,
          (floor((regr_intercept(value, CAST(json_extract_string(props, '$.k') AS DOUBLE))) * 1e9 + 0.5) / 1e9) AS intercept
   FROM events"""
@@ -192,7 +192,7 @@ ORACLE = {
                                    FROM events GROUP BY 1, 2)
         SELECT t.user_id, strftime(t.day, '%Y-%m-%d') AS day, t.tmax, y.tmax AS yesterday_tmax
         FROM d t JOIN d y ON t.user_id = y.user_id AND t.day - INTERVAL 1 DAY = y.day""",
-    "day_of_year": "SELECT o_orderkey, dayofyear(o_orderdate) AS day_of_year FROM orders",
+    "day_of_year": "SELECT o_orderkey, CAST(dayofyear(o_orderdate) AS INTEGER) AS day_of_year FROM orders",
     "top1_row_number": """SELECT user_id, event_id, value FROM (
         SELECT user_id, event_id, value,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
@@ -209,7 +209,7 @@ ORACLE = {
     "star_spend": """
         WITH pc AS (SELECT o_custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS spend
                     FROM orders GROUP BY 1)
-        SELECT r_name, n_name, sum(n) AS n_orders, CAST(sum(spend) AS DECIMAL(38,2)) AS spend
+        SELECT r_name, n_name, CAST(sum(n) AS BIGINT) AS n_orders, CAST(sum(spend) AS DECIMAL(38,2)) AS spend
         FROM pc JOIN customer ON o_custkey = c_custkey
                 JOIN nation ON c_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey
