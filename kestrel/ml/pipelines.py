@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import colour
+from kestrel.sources.files import rows as literal_rows
 
 SEED = 1234
 
@@ -83,7 +84,7 @@ def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
             ("lab", ["labL", "labA", "labB"], colour.lab_statement(["R", "G", "B", "word"]))):
         model = fit_cached(mlp_pipeline(feats, "word", n, sql=sql, seed=seed), train)
         rows.append((name, float(f1_score(model.transform(valid)))))
-    return spark.createDataFrame(rows, "model string, f1 double")
+    return literal_rows(spark, rows, "model string, f1 double")
 
 
 def vector_label_scores(df: DataFrame, vector: str, label: str, seed: int = SEED) -> DataFrame:
@@ -101,7 +102,7 @@ def vector_label_scores(df: DataFrame, vector: str, label: str, seed: int = SEED
                                        featuresCol="features_in")])
     model = fit_cached(pipe, train)
     score = float(f1_score(model.transform(valid)))
-    return spark.createDataFrame([(train.count(), valid.count(), score)],
+    return literal_rows(spark, [(train.count(), valid.count(), score)],
                                  "n_train long, n_valid long, f1 double")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.session import checkpoint_root
+from kestrel.sources.files import rows
 
 PATHS_SCHEMA = "node bigint, source bigint, distance int, path array<bigint>"
 
@@ -55,7 +56,7 @@ def bfs(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | No
     e = edges.select(F.col(src).cast("bigint").alias("src"),
                      F.col(dest).cast("bigint").alias("dest")) \
         .filter(F.col("src").isNotNull() & F.col("dest").isNotNull())
-    seed = spark.createDataFrame([(int(source), int(source), 0, [int(source)])], PATHS_SCHEMA)
+    seed = rows(spark, [(int(source), int(source), 0, [int(source)])], PATHS_SCHEMA)
     rounds = [seed]
     frontier = seed
     if target is not None and int(target) == int(source):

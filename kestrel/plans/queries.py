@@ -562,7 +562,8 @@ def ml_next_day_scores(spark: SparkSession, d: str) -> DataFrame:
     r2, rmse = pipelines.regression_scores(model.transform(valid))
     imp = pipelines.feature_importances(model)
     top = max(imp, key=imp.get)
-    return spark.createDataFrame([(r2, rmse, top, imp[top])],
+    from kestrel.sources.files import rows
+    return rows(spark, [(r2, rmse, top, imp[top])],
                                  "r2 double, rmse double, top_feature string, importance double")
 
 

@@ -51,8 +51,19 @@ def with_source_file(df: DataFrame, column: str = "file_name") -> DataFrame:
 
 
 def rows(spark: SparkSession, data, schema) -> DataFrame:
-    """Literal rows to a table (SRC7).  For small driver-side inputs only."""
-    return spark.createDataFrame(data, schema)
+    """Literal rows to a table (SRC7).  For small driver-side inputs only.
+
+    The rows become literals of one ``inline`` expression, so the table is
+    built in the JVM -- no Python worker is started to deserialize them.
+    ``schema`` is a DDL string or a ``StructType``.
+    """
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if not data:
+        return spark.createDataFrame([], st)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, st.fields)]) for row in data]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name).cast(f.dataType) for f in st.fields])
 
 
 def trials(spark: SparkSession, n: int, slices: int | None = None) -> DataFrame:
