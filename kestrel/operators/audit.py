@@ -22,10 +22,19 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose (non-NULL) foreign key has no parent row."""
+    """Child rows whose (non-NULL) foreign key has no parent row.
+
+    The orphan *keys* are found on per-key counts (no skew: one row per
+    key); the child rows are then joined back to those keys with
+    :func:`kestrel.operators.joins.join_per_key`, which spreads a hot
+    orphan key over several tasks.
+    """
+    from kestrel.operators.joins import join_per_key
+    checked = child.filter(F.col(fk).isNotNull())
+    per_key = checked.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
     parents = parent.select(F.col(pk).alias("__pk")).distinct()
-    return child.filter(F.col(fk).isNotNull()) \
-        .join(parents, F.col(fk) == F.col("__pk"), "left_anti")
+    orphan_keys = per_key.join(parents, F.col(fk) == F.col("__pk"), "left_anti")
+    return join_per_key(checked, orphan_keys, fk, "__n").drop("__n")
 
 
 def orphan_summary(child: DataFrame, child_name: str, fk: str,

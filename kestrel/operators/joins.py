@@ -12,15 +12,28 @@ Broadcast policy:
 * ``"never"``: shuffle join.
 
 A broadcast is never forced on a side whose size is unknown.
+
+Joining rows back to a one-row-per-key table (group means, group maxima)
+is the one place where AQE's skew handling does not help: the per-key side
+comes out of an aggregate, so the join has no plain shuffle stage on that
+side to split against.  :func:`join_per_key` handles it: keys holding more
+than ``rows_per_task`` rows are *hot*; there are at most
+``total_rows / rows_per_task`` of them, a bound that is checked before they
+are broadcast.  A hot key's rows get a salt in ``[0, n)`` with
+``n = ceil(count / rows_per_task)`` and its per-key row is replicated ``n``
+times, so the key is spread over ``n`` tasks; cold keys join as usual.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_ROWS_PER_TASK = 5_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
@@ -42,18 +55,66 @@ def join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def join_per_key(big: DataFrame, per_key: DataFrame, key, count_col: str,
+                 broadcast: str = "auto", rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, seed: int = 17) -> DataFrame:
+    """Inner join of ``big`` with ``per_key`` (one row per key, where
+    ``count_col`` is the number of ``big`` rows with that key), safe for
+    hot keys.
+
+    ``broadcast='checked'``: the whole per-key table is broadcast when it
+    has at most ``max_rows`` rows (then nothing of ``big`` moves).
+    Otherwise, and for ``'auto'``: hot keys are salted as described in the
+    module notes; if even the hot-key list exceeds ``max_rows`` the join
+    falls back to a plain shuffle join.  ``'never'``: plain shuffle join.
+    """
+    keys = _keys(key)
+    if broadcast == "never":
+        return big.join(per_key, keys)
+    per_key = per_key.persist(StorageLevel.MEMORY_AND_DISK)
+    if broadcast == "checked" and is_small(per_key, max_rows):
+        return big.join(F.broadcast(per_key), keys)
+    hot = per_key.filter(F.col(count_col) > rows_per_task).select(
+        *[F.col(k).alias(f"__h_{k}") for k in keys],
+        F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias("__n"))
+    if not is_small(hot, max_rows):
+        return big.join(per_key, keys)
+    hot = F.broadcast(hot)
+
+    def on_hot(df):
+        return reduce(lambda a, b: a & b, [df[k] == F.col(f"__h_{k}") for k in keys])
+
+    hot_cols = [f"__h_{k}" for k in keys]
+    salted = big.join(hot, on_hot(big), "left") \
+        .withColumn("__salt", F.when(F.col("__n").isNull(), F.lit(0))
+                    .otherwise(F.floor(F.rand(seed) * F.col("__n")).cast("int"))) \
+        .drop("__n", *hot_cols)
+    spread = per_key.join(hot, on_hot(per_key), "left") \
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n"), F.lit(1)) - 1))) \
+        .drop("__n", *hot_cols)
+    return salted.join(spread, keys + ["__salt"]).drop("__salt")
+
+
 def relative_to_group_mean(df: DataFrame, key: str, score: str, label: str,
                            broadcast: str = "auto",
-                           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                           rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """Each row's score divided by its group's mean, for groups whose mean is
     positive (JN1 / JN2 + AGG2 + FLT5 + MTH1).
 
     Output: ``relative_score, <label>, <key>``, sorted by ``relative_score``
     descending (SRT2).  The group means are one partial aggregate; only rows
-    whose group survives the ``mean > 0`` filter come out of the join.
+    whose group survives the ``mean > 0`` filter come out of the join, which
+    splits hot groups (:func:`join_per_key`).
     """
-    means = df.groupBy(key).agg(F.avg(score).alias("__mean")).filter(F.col("__mean") > 0)
-    joined = join(df.select(key, score, label), means, key, "inner", broadcast, max_rows)
+    means = df.groupBy(key).agg(F.avg(score).alias("__mean"), F.count(F.lit(1)).alias("__cnt")) \
+        .filter(F.col("__mean") > 0)
+    joined = join_per_key(df.select(key, score, label), means, key, "__cnt", broadcast,
+                          rows_per_task, max_rows)
     return joined.select(
         (F.col(score).cast("double") / F.col("__mean")).alias("relative_score"),
         F.col(label), F.col(key),

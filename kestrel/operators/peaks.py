@@ -6,10 +6,10 @@ maximum" (ties kept):
 * :func:`rows_at_group_max` -- ``rank() == 1`` over a window.  Spark plans
   the filter as a *partial* ``WindowGroupLimit`` before the exchange, so
   each map task forwards only its local rank-1 rows of a hot group.
-* :func:`rows_at_group_max_join` -- aggregate the maximum per group
-  (partial aggregation), then join it back on ``(group, value)``.  The
-  per-group maxima are broadcast only under the policy of
-  :func:`kestrel.operators.joins.join`.
+* :func:`rows_at_group_max_join` -- aggregate the maximum (and row count)
+  per group (partial aggregation), then join it back on ``(group, value)``
+  with :func:`kestrel.operators.joins.join_per_key`: broadcast when the
+  maxima are proven small, hot groups salted otherwise.
 
 NULL values are dropped first in both forms: the join form loses them
 anyway (``NULL = max`` is not true), and the window form must agree.
@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join
+from kestrel.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_ROWS_PER_TASK,
+                                     join_per_key)
 
 
 def _cols(keys) -> list:
@@ -35,11 +36,13 @@ def rows_at_group_max(df: DataFrame, keys, value: str) -> DataFrame:
 
 
 def rows_at_group_max_join(df: DataFrame, keys, value: str, broadcast: str = "auto",
-                           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                           rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     keys = _cols(keys)
-    maxima = df.groupBy(*keys).agg(F.max(value).alias(value))
-    return join(df.filter(F.col(value).isNotNull()), maxima, keys + [value], "inner",
-                broadcast, max_rows)
+    rows = df.filter(F.col(value).isNotNull())
+    maxima = rows.groupBy(*keys).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("__cnt"))
+    return join_per_key(rows, maxima, keys + [value], "__cnt", broadcast,
+                        rows_per_task, max_rows).drop("__cnt")
 
 
 def first_per_group(df: DataFrame, keys, order: list) -> DataFrame:

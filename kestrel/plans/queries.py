@@ -46,13 +46,15 @@ def wordcount_punct(spark: SparkSession, d: str) -> DataFrame:
     return aggregate.count_by_key(words, "word", "n").orderBy("word")
 
 
-def within_partition_sort(spark: SparkSession, d: str, reducers: int = 3) -> DataFrame:
-    """Word counts laid out as a MapReduce job writes them: hashed into
-    ``reducers`` partitions, each sorted by word, no global order (SRT4)."""
+def within_partition_sort(spark: SparkSession, d: str, reducers: int | None = None) -> DataFrame:
+    """Word counts laid out as a MapReduce job writes them: hashed by word
+    into reducer partitions (the session's shuffle partitions unless
+    ``reducers`` is given), each sorted by word, no global order (SRT4)."""
     docs = _documents(spark, d)
     words = text.explode_words(docs, "text", lower=True, punct=True)
     counts = aggregate.count_by_key(words, "word", "n")
-    return counts.repartition(reducers, "word").sortWithinPartitions("word")
+    laid = counts.repartition(reducers, "word") if reducers else counts.repartition("word")
+    return laid.sortWithinPartitions("word")
 
 
 def text_format(spark: SparkSession, d: str) -> DataFrame:
