@@ -80,7 +80,7 @@ def join_per_key(big: DataFrame, per_key: DataFrame, key, count_col: str,
         return big.join(F.broadcast(per_key), keys)
     hot = per_key.filter(F.col(count_col) > rows_per_task).select(
         *[F.col(k).alias(f"__h_{k}") for k in keys],
-        F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias("__n"))
+        F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias("__salts"))
     if not is_small(hot, max_rows):
         return big.join(per_key, keys)
     hot = F.broadcast(hot)
@@ -90,12 +90,12 @@ def join_per_key(big: DataFrame, per_key: DataFrame, key, count_col: str,
 
     hot_cols = [f"__h_{k}" for k in keys]
     salted = big.join(hot, on_hot(big), "left") \
-        .withColumn("__salt", F.when(F.col("__n").isNull(), F.lit(0))
-                    .otherwise(F.floor(F.rand(seed) * F.col("__n")).cast("int"))) \
-        .drop("__n", *hot_cols)
+        .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0))
+                    .otherwise(F.floor(F.rand(seed) * F.col("__salts")).cast("int"))) \
+        .drop("__salts", *hot_cols)
     spread = per_key.join(hot, on_hot(per_key), "left") \
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n"), F.lit(1)) - 1))) \
-        .drop("__n", *hot_cols)
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))) \
+        .drop("__salts", *hot_cols)
     return salted.join(spread, keys + ["__salt"]).drop("__salt")
 
 
