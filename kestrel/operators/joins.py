@@ -6,7 +6,7 @@ Broadcast policy:
   the shuffle boundary and converts the join to a broadcast join only when
   the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
   -- a proven bound, taken at run time.
-* ``"checked"``: the small side is persisted and counted with a bounded
+* ``"checked"``: the small side is materialised and counted with a bounded
   ``limit(max_rows + 1).count()``; it is broadcast only if it has at most
   ``max_rows`` rows, otherwise an ordinary shuffle join is used.
 * ``"never"``: shuffle join.
@@ -28,10 +28,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 DEFAULT_ROWS_PER_TASK = 5_000_000
 
@@ -46,7 +47,7 @@ def join(big: DataFrame, small: DataFrame, on, how: str = "inner",
          broadcast: str = "auto", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Equi-join with an explicit broadcast policy (JN1, JN2, JN5)."""
     if broadcast == "checked":
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        small = materialize(small)
         if is_small(small, max_rows):
             return big.join(F.broadcast(small), on, how)
         return big.join(small, on, how)
@@ -75,7 +76,7 @@ def join_per_key(big: DataFrame, per_key: DataFrame, key, count_col: str,
     keys = _keys(key)
     if broadcast == "never":
         return big.join(per_key, keys)
-    per_key = per_key.persist(StorageLevel.MEMORY_AND_DISK)
+    per_key = materialize(per_key)
     if broadcast == "checked" and is_small(per_key, max_rows):
         return big.join(F.broadcast(per_key), keys)
     hot = per_key.filter(F.col(count_col) > rows_per_task).select(

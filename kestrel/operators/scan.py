@@ -8,7 +8,7 @@ a third of the data.  Here the work is split in two levels:
    ordered key space into ranges of similar size.  A hot group is spread
    over several consecutive ranges ("chunks"); a range id is
    ``spark_partition_id()``, which is monotone in the key order.  The
-   chunked rows are persisted so that every later branch reads the same cut.
+   chunked rows are checkpointed so that every later branch reads the same cut.
 2. Per (group, chunk): the chunk's row count and value sum -- a tiny table
    of at most ``groups + partitions`` rows.  A window over it (per group,
    ordered by chunk) gives each chunk the count and sum of everything
@@ -22,10 +22,11 @@ sequential scan of the group in order.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 
 def running_sum(df: DataFrame, group: str, order: list[str], value: str,
                 chunks: int | None = None, sum_out: str = "running_sum",
@@ -35,11 +36,9 @@ def running_sum(df: DataFrame, group: str, order: list[str], value: str,
     chunked = (df.repartitionByRange(chunks, group, *order) if chunks
                else df.repartitionByRange(group, *order))
     # Both branches below must see the *same* range cut: a second exchange
-    # would sample its own bounds.  Persisting the chunked rows pins one
-    # materialisation (a lost block is recomputed through the same
-    # partitioner), whatever exchange reuse the optimizer decides on.
-    chunked = chunked.withColumn("__chunk", F.spark_partition_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # would sample its own bounds.  Materialising the chunked rows (reliable
+    # checkpoint) pins one cut, whatever exchange reuse the optimizer picks.
+    chunked = materialize(chunked.withColumn("__chunk", F.spark_partition_id()))
 
     # Offsets: one row per (group, chunk) -- a hot group spans few chunks,
     # and only boundary groups span more than one.

@@ -67,3 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and return a
+    DataFrame that reads it back.
+
+    Used where later branches of a plan must see one fixed result (a range
+    cut, a per-key table that was size-checked).  Unlike ``persist`` it
+    holds no executor memory for the rest of the session, survives the loss
+    of an executor, and cuts the lineage.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
