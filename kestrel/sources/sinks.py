@@ -73,3 +73,9 @@ def append_table(df: DataFrame, path_or_table: str, fmt: str = "parquet",
         writer.saveAsTable(path_or_table)
     else:
         writer.save(path_or_table)
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` rows, for a look at a result (LIM1).  The limit is the
+    feature here; Spark stops reading once ``n`` rows are found."""
+    return df.limit(n)

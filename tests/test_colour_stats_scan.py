@@ -86,8 +86,9 @@ def test_first_crossing_with_hot_group_equals_brute_force(spark):
 
 def test_first_crossing_of_uniforms_tends_to_e(spark):
     """The Monte Carlo estimate of e: draws per trial until the sum reaches 1."""
+    from kestrel.sources.files import trials
     n = 20000
-    draws = spark.range(0, n * 12, 1, 8).select(
+    draws = trials(spark, n * 12, 8).select(
         (F.col("id") % n).alias("trial"), (F.col("id") / n).cast("int").alias("k"),
         F.rand(7).alias("u"))
     c = scan.mean_first_crossing(scan.first_crossing(draws, "trial", ["k"], "u", 1.0)).first()

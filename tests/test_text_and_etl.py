@@ -116,3 +116,16 @@ def test_text_sink_format(spark, tmp):
     sinks.write_json(df, out + "_gz", compression="gzip")
     assert any(n.endswith(".gz") for n in os.listdir(out + "_gz"))
     assert spark.read.json(out + "_gz").count() == 1
+
+
+def test_preview_and_literal_rows(spark):
+    df = files.rows(spark, [(1, "a", [1, 2]), (2, "b", [])], "k int, s string, xs array<bigint>")
+    assert [tuple(r) for r in df.collect()] == [(1, "a", [1, 2]), (2, "b", [])]
+    assert sinks.preview(df, 1).count() == 1
+
+
+def test_split_trim_literal_separator(spark):
+    df = spark.createDataFrame([("6:  1 5 ",), ("a.b . c",)], "v string")
+    got = df.select(text.split_trim("v", ":").alias("p")).first().p
+    assert got == ["6", "1 5"]
+    assert df.select(text.split_trim("v", ".").alias("p")).collect()[1].p == ["a", "b", "c"]
