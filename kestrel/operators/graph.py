@@ -7,8 +7,9 @@ round) with the edges, keeps for every newly reached node the smallest
 parent, and removes nodes already known with an anti-join.  Every round's
 new rows are checkpointed to the shared checkpoint folder (reliable, so a
 lost executor does not lose them) and the plan of the next round starts
-from those files; lineage never grows.  The only actions are one small
-aggregate per round (how many new nodes, is the target among them).
+from those files; lineage never grows.  Each round runs two jobs: the
+checkpoint write and one small aggregate (how many new nodes, is the
+target among them).
 
 The path of every node is carried along as an array, so no path is rebuilt
 by collecting parents to the driver.

@@ -58,7 +58,7 @@ def within_partition_sort(spark: SparkSession, d: str, reducers: int | None = No
 
 
 def text_format(spark: SparkSession, d: str) -> DataFrame:
-    """``'word count'`` text lines of the whitespace word count (STR7, SNK1 shape)."""
+    """``'word count'`` text lines of the whitespace word count (STR7)."""
     counts = wordcount_ws(spark, d)
     return counts.select(text.format_line("%s %d", "word", "n").alias("line"))
 
@@ -119,13 +119,14 @@ _SEGMENT_FIELDS = ["c_mktsegment", "c_acctbal", "c_name"]
 
 
 def etl_positive(spark: SparkSession, d: str) -> DataFrame:
-    """Customers in segments containing 'E' with a positive balance (FLT3 FLT5 PRJ1 SNK4)."""
+    """Customers in segments containing 'E' with a positive balance: the
+    first side of the two-way split (FLT3 FLT5 PRJ1)."""
     return etl.segment_rows(load(spark, d, "customer"), "c_mktsegment", "E",
                             "c_acctbal", True, _SEGMENT_FIELDS)
 
 
 def etl_nonpositive(spark: SparkSession, d: str) -> DataFrame:
-    """The complementary side: balance <= 0 (SNK4)."""
+    """The complementary side of the split: balance <= 0 (FLT3 FLT5)."""
     return etl.segment_rows(load(spark, d, "customer"), "c_mktsegment", "E",
                             "c_acctbal", False, _SEGMENT_FIELDS)
 
@@ -153,8 +154,8 @@ def _scored_customers(spark, d):
 
 
 def relative_score(spark: SparkSession, d: str) -> DataFrame:
-    """Score over the group's mean, for groups with a positive mean; shuffle
-    join (AGG2 FLT5 JN1 MTH1 SRT2)."""
+    """Score over the group's mean, for groups with a positive mean; equi-join
+    back with hot groups salted, no broadcast hint (AGG3 FLT5 JN1 MTH1 SRT2)."""
     rel = joins.relative_to_group_mean(_scored_customers(spark, d), "c_nationkey",
                                        "score", "c_name", broadcast="auto")
     return rel.select(fixed("relative_score", 6).alias("relative_score"),
@@ -281,7 +282,8 @@ def linear_fit(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_linear_fit(spark: SparkSession, d: str) -> DataFrame:
     """The same line computed by a Structured Streaming query over a file
-    stream of ``"x y"`` messages (SRC10 STM1-STM5 SNK6)."""
+    stream of ``"x y"`` messages, complete mode into a memory table, run
+    until the available input is done (SRC10 STM1-STM5)."""
     from kestrel.streaming import regression
     schema = load(spark, d, "events").schema
     # A file stream watches a folder; only the events file of it is read.
@@ -344,7 +346,7 @@ def _bfs(spark, d):
 
 def bfs_distance(spark: SparkSession, d: str) -> DataFrame:
     """Hop distance and smallest parent from node 1, at most 6 rounds
-    (GRF1-GRF4 JN7 SET1 AGG11)."""
+    (GRF2 GRF3 JN7 SET1 AGG11)."""
     return graph.rounds_table(_bfs(spark, d))
 
 
@@ -390,7 +392,8 @@ def first_crossing(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------- star schema (A9)
 
 def star_spend(spark: SparkSession, d: str) -> DataFrame:
-    """Orders and exact decimal spend per nation and region (CAT3 AGG6 JN1).
+    """Orders and exact decimal spend per nation and region over the star
+    schema orders -> customer -> nation -> region (AGG6 JN1).
 
     Orders are reduced to one row per customer *before* the join, so the
     join moves one row per customer instead of one per order; nation and
@@ -415,8 +418,8 @@ PRUNE_MONTH = "1996-03"
 
 
 def partition_pruned(spark: SparkSession, d: str) -> DataFrame:
-    """Orders written as a table partitioned by month, then one month read
-    back: the scan lists only that partition (CAT4 partition pruning)."""
+    """Orders written as a folder partitioned by month, then one month read
+    back: the scan lists only that partition (partition layout and pruning)."""
     from kestrel.sources import catalog
     path = catalog.write_partitioned(
         load(spark, d, "orders").withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM")),
