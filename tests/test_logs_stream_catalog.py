@@ -119,3 +119,18 @@ def test_declared_struct_vs_variant(spark, tmp):
     assert [r.op for r in v] == [None, None]
     catalog.drop_table(spark, "ext_amenities")
     assert os.path.exists(p)
+
+
+def test_console_sink_bounded_run(spark, tmp):
+    """Console output goes to the JVM's stdout; check the run is bounded and
+    leaves no active query behind."""
+    import time
+    src = os.path.join(tmp, "msgs2")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("1 2\n2 4\n3 7\n")
+    msgs = regression.read_stream(spark, src, fmt="text")
+    t0 = time.time()
+    regression.run_to_console(regression.running_fit(regression.parse_points(msgs)), seconds=5)
+    assert time.time() - t0 < 60
+    assert not [q for q in spark.streams.active if q.isActive]
