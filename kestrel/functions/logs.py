@@ -1,7 +1,7 @@
 """Access-log line parsing (STR6, DAT3, FLT8, UID1).
 
-One ``rlike`` keeps well-formed lines; four ``regexp_extract`` calls pull
-the groups.  Everything stays in the JVM.
+Four ``regexp_extract`` calls pull the groups; a line that does not match
+gives an empty host and is dropped.  Everything stays in the JVM.
 """
 
 from __future__ import annotations
@@ -29,13 +29,18 @@ def parse_log_lines(lines: DataFrame, line_col: str = "value",
     ``datetime`` is a ``timestamp_ntz``; the zone offset is ignored.
     """
     line = F.col(line_col)
+    # The host group is ``\S+``: it is empty exactly when the line does not
+    # match, so no separate ``rlike`` pass is needed to tell good from bad.
+    # Conversions run only on matching lines (ANSI mode raises on '').
+    host = F.regexp_extract(line, LOG_LINE, 1)
+    ok = host != F.lit("")
     parsed = lines.select(
-        is_log_line(line).alias("ok"),
-        F.regexp_extract(line, LOG_LINE, 1).alias("host"),
-        F.to_timestamp_ntz(F.regexp_extract(line, LOG_LINE, 2),
-                           F.lit(LOG_TIME_FORMAT)).alias("datetime"),
-        F.regexp_extract(line, LOG_LINE, 3).alias("path"),
-        F.regexp_extract(line, LOG_LINE, 4).cast("long").alias("bytes"),
+        host.alias("host"),
+        F.when(ok, F.to_timestamp_ntz(F.regexp_extract(line, LOG_LINE, 2),
+                                      F.lit(LOG_TIME_FORMAT))).alias("datetime"),
+        F.when(ok, F.regexp_extract(line, LOG_LINE, 3)).alias("path"),
+        F.when(ok, F.regexp_extract(line, LOG_LINE, 4).try_cast("long")).alias("bytes"),
+        ok.alias("ok"),
     )
     if keep_bad:
         return parsed

@@ -32,15 +32,17 @@ PATHS_SCHEMA = "node bigint, source bigint, distance int, path array<bigint>"
 def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
     """``'src: d1 d2 ...'`` lines to ``(src, dest)`` rows (GRF1).
 
-    Nodes without out-edges produce no row.  Blank lines are ignored.
+    Nodes without out-edges produce no row.  Blank lines, and ids that are
+    not integers, are ignored.
     """
     parts = F.split(F.col(col), ":", 2)
     src = F.trim(F.get(parts, 0))
     dests = F.filter(F.split(F.trim(F.coalesce(F.get(parts, 1), F.lit(""))), r"\s+"),
                      lambda d: d != F.lit(""))
     return lines.filter(F.trim(F.col(col)) != "") \
-        .select(src.cast("bigint").alias("src"), F.explode(dests).alias("dest")) \
-        .select("src", F.col("dest").cast("bigint").alias("dest"))
+        .select(src.try_cast("bigint").alias("src"), F.explode(dests).alias("dest")) \
+        .select("src", F.col("dest").try_cast("bigint").alias("dest")) \
+        .filter(F.col("src").isNotNull() & F.col("dest").isNotNull())
 
 
 def bfs(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,

@@ -274,7 +274,7 @@ def moments_correlation(spark: SparkSession, d: str) -> DataFrame:
 def linear_fit(spark: SparkSession, d: str) -> DataFrame:
     """Least-squares line of value on props.k (AGG9)."""
     ev = load(spark, d, "events").select(
-        F.get_json_object("props", "$.k").cast("double").alias("x"), F.col("value").alias("y"))
+        F.get_json_object("props", "$.k").try_cast("double").alias("x"), F.col("value").alias("y"))
     fit = stats.linear_fit(ev, "x", "y")
     return fit.select("n", fixed("slope", 9).alias("slope"),
                       fixed("intercept", 9).alias("intercept"))
