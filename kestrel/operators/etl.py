@@ -53,3 +53,11 @@ def variant_path(text: str | Column, path: str, type_: str = "string") -> Column
 def tag(df: DataFrame, name: str, value) -> DataFrame:
     """Constant column (PRJ5)."""
     return df.withColumn(name, F.lit(value))
+
+
+def page_views(df: DataFrame, locale: str = "en", excluded_title: str = "Main_Page",
+               excluded_prefix: str = "Special:") -> DataFrame:
+    """Page-view rows worth ranking: one locale, not the main page, not a
+    special page (FLT1 equality and inequality, FLT2 negated prefix, FLT6)."""
+    return df.filter((F.col("locale") == locale) & (F.col("title") != excluded_title) &
+                     ~F.col("title").startswith(excluded_prefix))

@@ -129,3 +129,22 @@ def test_split_trim_literal_separator(spark):
     got = df.select(text.split_trim("v", ":").alias("p")).first().p
     assert got == ["6", "1 5"]
     assert df.select(text.split_trim("v", ".").alias("p")).collect()[1].p == ["a", "b", "c"]
+
+
+def test_most_viewed_page_per_hour_from_files(spark, tmp):
+    """The page-view job end to end: space-delimited files whose names carry
+    the hour, filters, per-hour maximum with ties kept."""
+    from kestrel.operators import peaks
+    files_ = {"pagecounts-20160801-120000": ["en Main_Page 500 1", "en Special:Search 400 1",
+                                             "en A 7 1", "en B 7 1", "fr C 99 1", 'en "Q 3 1'],
+              "pagecounts-20160801-130000": ["en A 2 1", "en D 9 1"]}
+    for name, lines in files_.items():
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    raw = files.with_source_file(files.read_csv(
+        spark, tmp, "locale string, title string, views int, bytes long", sep=" ", quote=""))
+    hour = F.nullif(F.regexp_extract("file_name", r"(\d{8}-\d{2})", 1), F.lit(""))
+    pages = etl.page_views(raw.withColumn("hour", hour))
+    top = peaks.rows_at_group_max_join(pages, "hour", "views", broadcast="checked")
+    got = sorted((r.hour, r.title, r.views) for r in top.collect())
+    assert got == [("20160801-12", "A", 7), ("20160801-12", "B", 7), ("20160801-13", "D", 9)]
