@@ -131,12 +131,23 @@ def tmax_features(daily: DataFrame) -> DataFrame:
 
 
 def forest_pipeline(label: str = "tmax", depth: int = 10, bins: int = 40,
-                    seed: int = SEED) -> Pipeline:
-    """Assemble -> random forest regressor, depth 10, 40 bins (ML2 ML6 ML7)."""
-    return Pipeline(stages=[
+                    seed: int = SEED, sql_stages: bool = False) -> Pipeline:
+    """Assemble -> random forest regressor, depth 10, 40 bins (ML2 ML6 ML7).
+
+    ``sql_stages=True`` puts the day-of-year and yesterday SQL statements
+    inside the pipeline, as stages (UDF4).  Then the yesterday join runs on
+    whatever rows the pipeline is given, so a row whose previous day went to
+    the other split has no neighbour.  The default expects features built
+    first (:func:`tmax_features`), before any split.
+    """
+    stages = []
+    if sql_stages:
+        stages += [SQLTransformer(statement=DAY_OF_YEAR_SQL), SQLTransformer(statement=YESTERDAY_SQL)]
+    stages += [
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
         RandomForestRegressor(labelCol=label, featuresCol="features", maxDepth=depth,
-                              maxBins=bins, seed=seed)])
+                              maxBins=bins, seed=seed)]
+    return Pipeline(stages=stages)
 
 
 def regression_scores(predictions: DataFrame, label: str = "tmax") -> tuple[float, float]:

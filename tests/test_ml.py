@@ -26,3 +26,14 @@ def test_lab_grid_round_trips(spark):
     assert inside
     for r in inside:
         assert abs(r.labL - 70.0) < 1e-6 and abs(r.labA - r.lab_a) < 1e-6 and abs(r.labB - r.lab_b) < 1e-6
+
+
+def test_forest_with_sql_stages_in_the_pipeline(spark):
+    """The stage form: raw daily rows in, the pipeline derives its features."""
+    from kestrel.ml import pipelines
+    daily = Q._daily_series(spark, SF_SMALL)
+    train, valid = pipelines.split(daily)
+    model = pipelines.fit_cached(pipelines.forest_pipeline(sql_stages=True, depth=4), train)
+    scored = model.transform(valid)
+    assert "prediction" in scored.columns
+    assert scored.count() <= pipelines.tmax_features(valid).count()
