@@ -220,7 +220,7 @@ def daily_range_peak_sql(spark: SparkSession, d: str) -> DataFrame:
     spark.sql("""CREATE OR REPLACE TEMP VIEW kestrel_range_max AS
         SELECT day AS max_day, max(value_range) AS max_range FROM kestrel_range GROUP BY day""")
     return spark.sql("""
-        SELECT r.day, r.user_id, round(r.value_range, 4) AS value_range
+        SELECT r.day, r.user_id, floor(r.value_range * 1e4 + 0.5) / 1e4 AS value_range
         FROM kestrel_range r JOIN kestrel_range_max m
           ON r.day = m.max_day AND r.value_range = m.max_range
         ORDER BY r.day, r.user_id""")
