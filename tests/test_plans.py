@@ -36,3 +36,12 @@ def test_star_spend_pre_aggregates_orders_before_join(spark):
     ex = _plan(Q.star_spend(spark, SF_SMALL))
     # the first aggregate (per customer) sits below the customer join
     assert ex.count("HashAggregate") >= 4
+
+
+def test_spread_only_when_splits_are_few(spark):
+    from kestrel.operators.partitioning import spread_for_cpu
+    one = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread_for_cpu(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, 1, 6)
+    assert spread_for_cpu(many, 4) is many  # enough splits: no shuffle added
