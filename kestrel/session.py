@@ -26,8 +26,9 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "kestrel") -> SparkSession:
-    """A local session for tests and benchmarks (no UI, UTC, AQE on)."""
+                  app: str = "kestrel", extra_conf: dict | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (no UI, UTC, AQE on).
+    ``extra_conf`` adds settings, e.g. an event log folder for stage times."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -37,7 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
