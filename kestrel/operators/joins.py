@@ -108,7 +108,7 @@ def relative_to_group_mean(df: DataFrame, key: str, score: str, label: str,
     positive (JN1 / JN2 + AGG2 + FLT5 + MTH1).
 
     Output: ``relative_score, <label>, <key>``, sorted by ``relative_score``
-    descending (SRT2).  The group means are one partial aggregate; only rows
+    descending, then label and key (SRT2).  The group means are one partial aggregate; only rows
     whose group survives the ``mean > 0`` filter come out of the join, which
     splits hot groups (:func:`join_per_key`).
     """
@@ -116,10 +116,13 @@ def relative_to_group_mean(df: DataFrame, key: str, score: str, label: str,
         .filter(F.col("__mean") > 0)
     joined = join_per_key(df.select(key, score, label), means, key, "__cnt", broadcast,
                           rows_per_task, max_rows)
+    # Label and key break ties in the sort: equal sort keys cannot be split
+    # by the range partitioner, so a score shared by many rows would
+    # otherwise land in one task.
     return joined.select(
         (F.col(score).cast("double") / F.col("__mean")).alias("relative_score"),
         F.col(label), F.col(key),
-    ).orderBy(F.col("relative_score").desc())
+    ).orderBy(F.col("relative_score").desc(), F.col(label), F.col(key))
 
 
 def relative_to_group_mean_window(df: DataFrame, key: str, score: str, label: str) -> DataFrame:
@@ -132,7 +135,7 @@ def relative_to_group_mean_window(df: DataFrame, key: str, score: str, label: st
         .filter(F.col("__mean") > 0) \
         .select((F.col(score).cast("double") / F.col("__mean")).alias("relative_score"),
                 F.col(label), F.col(key)) \
-        .orderBy(F.col("relative_score").desc())
+        .orderBy(F.col("relative_score").desc(), F.col(label), F.col(key))
 
 
 def previous_day_join(daily: DataFrame, key: str, date: str, value: str,
