@@ -108,14 +108,15 @@ def relative_to_group_mean(df: DataFrame, key: str, score: str, label: str,
     positive (JN1 / JN2 + AGG2 + FLT5 + MTH1).
 
     Output: ``relative_score, <label>, <key>``, sorted by ``relative_score``
-    descending, then label and key (SRT2).  The group means are one partial aggregate; only rows
+    descending, then label and key (SRT2).  Rows without a score have no
+    relative score and are left out.  The group means are one partial aggregate; only rows
     whose group survives the ``mean > 0`` filter come out of the join, which
     splits hot groups (:func:`join_per_key`).
     """
-    means = df.groupBy(key).agg(F.avg(score).alias("__mean"), F.count(F.lit(1)).alias("__cnt")) \
+    rows = df.filter(F.col(score).isNotNull()).select(key, score, label)
+    means = rows.groupBy(key).agg(F.avg(score).alias("__mean"), F.count(F.lit(1)).alias("__cnt")) \
         .filter(F.col("__mean") > 0)
-    joined = join_per_key(df.select(key, score, label), means, key, "__cnt", broadcast,
-                          rows_per_task, max_rows)
+    joined = join_per_key(rows, means, key, "__cnt", broadcast, rows_per_task, max_rows)
     # Label and key break ties in the sort: equal sort keys cannot be split
     # by the range partitioner, so a score shared by many rows would
     # otherwise land in one task.
@@ -131,7 +132,8 @@ def relative_to_group_mean_window(df: DataFrame, key: str, score: str, label: st
     preferred for skewed keys: a window sends a hot group to one task."""
     from pyspark.sql import Window
     w = Window.partitionBy(key)
-    return df.select(key, score, label, F.avg(score).over(w).alias("__mean")) \
+    return df.filter(F.col(score).isNotNull()) \
+        .select(key, score, label, F.avg(score).over(w).alias("__mean")) \
         .filter(F.col("__mean") > 0) \
         .select((F.col(score).cast("double") / F.col("__mean")).alias("relative_score"),
                 F.col(label), F.col(key)) \
