@@ -122,3 +122,25 @@ def test_weather_model_jobs(spark, tmp):
     jobs.weather_tomorrow(spark, f"{tmp}/model", f"{tmp}/tmax", f"{tmp}/tomorrow")
     out = spark.read.csv(f"{tmp}/tomorrow").collect()
     assert sorted((r[0], r[1]) for r in out) == [("S1", "2016-03-01"), ("S2", "2016-03-01")]
+
+
+def test_colour_predict_job(spark, tmp):
+    from kestrel.functions.colour import COLOUR_RGB
+    rnd = random.Random(4)
+    rows = []
+    for word, (r, g, b) in COLOUR_RGB.items():
+        for _ in range(30):
+            c = [min(255, max(0, v + rnd.randint(-20, 20))) for v in (r, g, b)]
+            rows.append(f"{c[0]},{c[1]},{c[2]},{word},high")
+    _write(f"{tmp}/colours/c.csv", rows)
+    scores = jobs.colour_predict(spark, f"{tmp}/colours")
+    assert set(scores) == {"rgb", "lab"} and scores["lab"] > 0.5
+
+
+def test_first_crossing_job(spark, tmp):
+    rows = [(g, t, v) for g in range(3) for t, v in enumerate([0.5, 0.4, 0.3, 0.9])]
+    spark.createDataFrame(rows, "g int, t int, v double").write.parquet(f"{tmp}/draws")
+    mean = jobs.first_crossing(spark, f"{tmp}/draws", "g", "t", "v", "1", f"{tmp}/steps")
+    assert mean == 3.0
+    assert sorted(tuple(r) for r in spark.read.csv(f"{tmp}/steps").collect()) == [
+        ("0", "3"), ("1", "3"), ("2", "3")]
