@@ -148,3 +148,13 @@ def test_most_viewed_page_per_hour_from_files(spark, tmp):
     top = peaks.rows_at_group_max_join(pages, "hour", "views", broadcast="checked")
     got = sorted((r.hour, r.title, r.views) for r in top.collect())
     assert got == [("20160801-12", "A", 7), ("20160801-12", "B", 7), ("20160801-13", "D", 9)]
+
+
+def test_append_to_catalog_table_and_read_back(spark):
+    df = spark.createDataFrame([("a", 1, "d1"), ("b", 2, "d2")], "host string, bytes int, day string")
+    spark.sql("DROP TABLE IF EXISTS kestrel_logs_t")
+    sinks.append_table(df, "kestrel_logs_t", partition_by=["day"], as_table=True)
+    sinks.append_table(df, "kestrel_logs_t", partition_by=["day"], as_table=True)
+    t = files.read_table(spark, "kestrel_logs_t", fmt="table")
+    assert t.count() == 4 and t.filter("day = 'd1'").count() == 2
+    spark.sql("DROP TABLE kestrel_logs_t")
