@@ -89,3 +89,11 @@ def test_audits(spark):
     assert (s.n_checked, s.n_orphans) == (2, 1)
     nulls = {r.column_name: r.n_nulls for r in audit.null_counts(child).collect()}
     assert nulls == {"fk": 1}
+
+
+def test_relative_score_skips_rows_without_score(spark):
+    df = spark.createDataFrame([("a", "u1", 2.0), ("a", "u2", None), ("a", "u3", 4.0)],
+                               "sub string, author string, score double")
+    for rel in (joins.relative_to_group_mean(df, "sub", "score", "author"),
+                joins.relative_to_group_mean_window(df, "sub", "score", "author")):
+        assert _rows(rel, "author", "relative_score") == [("u1", 2.0 / 3.0), ("u3", 4.0 / 3.0)]
