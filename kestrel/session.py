@@ -7,11 +7,15 @@ session comes from the deployment; the library only *reads* its settings.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Scratch folder of each application of this driver, by application id.
+_SCRATCH: dict[str, str] = {}
+
 # Settings that matter for every job here.  AQE re-plans at stage
 # boundaries: coalesces small shuffle partitions, splits skewed join
 # partitions, and turns a sort-merge join into a broadcast join when the
@@ -22,6 +26,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,8 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir set on
-    the context).  Only when neither is set -- local tests -- a fresh
-    temporary folder is created and registered.
+    the context).  With neither set, a local master (tests) gets a fresh
+    temporary folder; any other master raises, because a folder of the
+    driver's machine cannot be read by executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,15 +66,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master is {sc.master})")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
+        _delete_on_exit(spark, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system that holds ``path`` delete it when the driver's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint root."""
+    """A fresh, unique path under the shared checkpoint root; it is deleted
+    when the application ends."""
+    sc = spark.sparkContext
     root = checkpoint_root(spark)
-    return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    own = os.path.join(root, "scratch", sc.applicationId)
+    if _SCRATCH.get(sc.applicationId) != own:
+        jvm = sc._jvm
+        p = jvm.org.apache.hadoop.fs.Path(own)
+        # deleteOnExit only takes a folder that exists
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)
+        _delete_on_exit(spark, own)
+        _SCRATCH[sc.applicationId] = own
+    return os.path.join(own, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df):
