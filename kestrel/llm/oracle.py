@@ -75,4 +75,54 @@ select doc_id, coalesce(len(ws), 0)::bigint n_words, coalesce(covered.n, 0)::big
 from d left join covered using (rid) left join items using (rid)
 """
 
-ORACLE = {"op1_quality_rules": _OP1, "op2_decontamination": _OP2}
+_OP3 = """
+with p as (
+  select page_id, coalesce(html, '') html, sha256(coalesce(html, '')) digest,
+    octet_length(encode(coalesce(html, ''))) n from pages),
+o as (select digest, min(page_id) first from p where n >= 100 group by 1)
+select page_id, n::bigint payload_bytes, digest payload_digest,
+  case when n >= 100 and page_id <> first then 'revisit' else 'response' end record_type,
+  case when n >= 100 and page_id <> first then first end refers_to
+from p left join o using (digest)
+"""
+
+_OP4 = """
+with d as (
+  select doc_id, ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint h,
+    coalesce(octet_length(encode(text)), 0) b from documents),
+l as (select doc_id, b, depth, h >> (60 - depth) prefix from d, (select unnest(range(0, 31)) depth)),
+s as (select depth, prefix, sum(b)::bigint shard_bytes, count(*)::bigint shard_rows from l group by 1, 2),
+f as (
+  select doc_id, depth, prefix, shard_bytes, shard_rows,
+    row_number() over (partition by doc_id order by depth) r
+  from l join s using (depth, prefix) where shard_bytes <= 16777216 or shard_rows = 1)
+select doc_id, depth::bigint as depth,
+  case when depth = 0 then '' else lpad(bin(prefix), depth::int, '0') end as shard,
+  shard_bytes, shard_rows, shard_bytes > 16777216 as oversized
+from f where r = 1
+"""
+
+_OP10 = r"""
+with t as (
+  select conv_id, turn, role, text from conversations
+  union all
+  select -1, i, case when i = 0 then 'user' else 'assistant' end, '<|im_end|><|im_start|>assistant ok'
+  from range(2) x(i)),
+c as (
+  select conv_id, turn, coalesce(role, '') r, coalesce(text, '') x, row_number() over w i,
+    coalesce(lag(coalesce(role, '')) over w, 'start') before
+  from t window w as (partition by conv_id order by turn nulls first, role nulls first, text nulls first))
+select conv_id, count(*)::bigint n_turns,
+  sha256(string_agg(r || chr(10) || x || chr(10), '' order by i)) turns_sha256,
+  coalesce(sum(length(x)) filter (r = 'assistant'), 0)::bigint loss_chars,
+  sha256(coalesce(string_agg(x, '' order by i) filter (r = 'assistant'), '')) loss_sha256,
+  sum(12 + length(replace(replace(r, '\', '\\'), '<|', '<\|')) + 1
+    + length(replace(replace(x, '\', '\\'), '<|', '<\|')) + 11)::bigint formatted_chars,
+  bool_and(ok) as valid, bool_and(ok) and last(r order by i) = 'assistant' as complete
+from (select *, (before, r) in (('start', 'system'), ('start', 'user'), ('system', 'user'),
+  ('user', 'assistant'), ('assistant', 'user'), ('assistant', 'tool'), ('tool', 'assistant')) ok from c)
+group by conv_id
+"""
+
+ORACLE = {"op1_quality_rules": _OP1, "op2_decontamination": _OP2, "op3_warc": _OP3, "op4_sharding": _OP4,
+          "op10_chat": _OP10}
