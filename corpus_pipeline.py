@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontaminate, quality, simhash
+from kestrel.llm import decontaminate, pii, quality, simhash, transducer
 from kestrel.llm.common import stored
 from kestrel.sources.tables import load
 
@@ -30,8 +30,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.remove(docs, load(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by a mark of its kind (operator 9)."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' piece ids, and whether they decode to the text (operator 7)."""
+    return transducer.encode(docs, ["doc_id", "lang", "source", "n_chars"])
+
+
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates),
-          ("decontamination", decontamination)]
+          ("decontamination", decontamination), ("personal data", personal_data),
+          ("sentencepiece", sentencepiece)]
 
 #: SQL can express neither the random field nor the shortest paths.
 ORACLE_SQL = None
