@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.llm.lexicon import BPE, BYTE, CONTROL, SPACE, UNKNOWN, USER_DEFINED, Lexicon
 
@@ -239,5 +240,5 @@ def encode(docs: DataFrame, keep: list[str], text_col: str = "text", model_path:
     own = rows.select(*keep).schema
     ddl = own.add("n_pieces", "long").add("ids_sha256", "string").add("round_trip", "boolean")
     if with_ids:
-        ddl = ddl.add("ids", "array<int>")
+        ddl = ddl.add("ids", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(_encoder(model, with_ids), ddl)
