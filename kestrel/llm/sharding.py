@@ -56,7 +56,7 @@ def _split(rows: DataFrame, limit: int, at: int, depth: int, chain: bool) -> Dat
     return stored(slots.join(best, ["grp", "slot"], "left").select("grp", "slot", "one", "b"), "directory")
 
 
-def _place(rows: DataFrame, keep: list[str], limit: int, step: int | None, chain: bool) -> DataFrame:
+def _place(rows: DataFrame, limit: int, step: int | None, chain: bool) -> DataFrame:
     largest = rows.groupBy("grp").agg(F.sum("bytes").alias("b")).agg(F.max("b")).first()[0] or 0
     # the first look goes as deep as even buckets need, and a little more
     depth = min(HASH_BITS, step or max(4, math.ceil(math.log2(largest / limit + 1)) + 3))
@@ -67,7 +67,7 @@ def _place(rows: DataFrame, keep: list[str], limit: int, step: int | None, chain
         bits = F.when(F.col("b.depth") == 0, F.lit("")) \
             .otherwise(F.expr("lpad(bin(b.prefix), cast(b.depth as int), '0')"))
         done.append(placed.filter("b is not null").select(
-            *keep, (F.length(F.replace("grp", F.lit("/"))) + F.col("b.depth")).cast("long").alias("depth"),
+            "kept.*", (F.length(F.replace("grp", F.lit("/"))) + F.col("b.depth")).cast("long").alias("depth"),
             F.concat("grp", bits).alias("shard"), "b.shard_bytes", "b.shard_rows",
             (F.col("b.shard_bytes") > limit).alias("oversized")))
         if found.filter("b is null").isEmpty():
@@ -78,7 +78,7 @@ def _place(rows: DataFrame, keep: list[str], limit: int, step: int | None, chain
             if not stuck.isEmpty():  # one key: go on with the row numbers' bits
                 below = stuck.withColumn("grp", F.concat(F.expr(f"lpad(bin(h), {HASH_BITS}, '0')"), F.lit("/"))) \
                     .withColumn("h", F.shiftrightunsigned(F.xxhash64("rid"), 64 - HASH_BITS))
-                done.append(_place(stored(below, "overflow"), keep, limit, step, True))
+                done.append(_place(stored(below, "overflow"), limit, step, True))
             rest = rest.filter("not one")
             if rest.isEmpty():
                 break
@@ -91,16 +91,18 @@ def assign(df: DataFrame, key: Column, size: Column, keep: list[str], limit: int
     """Per row of ``df``: the columns ``keep`` and its bucket: depth, shard (the
     prefix's bits; those of an overflow chain after a ``/``), shard_bytes,
     shard_rows, oversized.  ``step``: bits looked at in one go (a plan choice)."""
-    rows = df.select(*keep, hash_bits(key).alias("h"), F.coalesce(size, F.lit(0)).cast("long").alias("bytes"))
+    rows = df.select(F.struct(*keep).alias("kept"), hash_bits(key).alias("h"), F.coalesce(size, F.lit(0)).cast("long").alias("bytes"))
     rows = stored(rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("grp", F.lit("")), "rows")
-    return _place(rows, keep, limit, step, False)
+    return _place(rows, limit, step, False)
 
 
 def write_shards(df: DataFrame, key: Column, size: Column, path: str, limit: int = BYTE_LIMIT) -> DataFrame:
     """Writes each bucket's rows, all columns of ``df``, under ``path`` in a folder
     of its own (``shard=...``), and returns the directory (shard, depth,
-    shard_bytes, shard_rows)."""
-    placed = assign(df, key, size, df.columns, limit)
-    cols = [*df.columns, "shard"]
-    placed.select(*cols).repartition("shard").write.partitionBy("shard").parquet(path)
+    shard_bytes, shard_rows).  ``df`` must not have a column ``shard``."""
+    if "shard" in df.columns:
+        raise ValueError("the table has a column shard; rename it first")
+    held = df.select(F.struct(*df.columns).alias("row"), key.alias("key"), size.alias("size"))
+    placed = assign(held, F.col("key"), F.col("size"), ["row"], limit)
+    placed.select("row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)
     return placed.select("shard", "depth", "shard_bytes", "shard_rows").distinct()

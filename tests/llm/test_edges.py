@@ -35,7 +35,7 @@ def quality_rows():
     rows = []
     words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
     for i in range(60):
-        body = text_of(rng, 80, words)
+        body = text_of(rng, 110, words)
         # a line that most documents of host a hold, in changing case and spacing; digits differ
         mark = f"Shared  LINE number {i} here" if i % 2 else "shared line  NUMBER 77 here"
         many = "\n".join(" ".join(f"{chr(97 + k)}{c}" for c in "pqrstuvwxyz") for k in range(8))
