@@ -25,7 +25,7 @@ def read_stream(spark: SparkSession, source: str, fmt: str = "text", schema=None
     """A stream of messages with a ``value string`` column (SRC10, STM5).
 
     ``fmt='kafka'``: ``source`` is the topic, ``servers`` the bootstrap list.
-    Otherwise ``source`` is a folder read as a file stream of ``fmt``.
+    Otherwise ``source`` is a folder, or one file, read as a file stream of ``fmt``.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
@@ -37,7 +37,10 @@ def read_stream(spark: SparkSession, source: str, fmt: str = "text", schema=None
         reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(source)
+    # A plain path must be a folder here; a pattern (of which the path itself is
+    # the only match) may also be a file.
+    plain = not any(c in source for c in "*?[{")
+    return reader.load(f"{source[:-1]}[{source[-1]}]" if plain and source[-1:].isalnum() else source)
 
 
 def parse_points(messages: DataFrame, col: str = "value") -> DataFrame:
@@ -74,16 +77,21 @@ def run_to_console(result: DataFrame, seconds: float = 600,
 
 
 def run_to_table(spark: SparkSession, result: DataFrame, name: str | None = None,
-                 available_now: bool = True, timeout: float | None = 600,
+                 available_now: bool = True, timeout: float | None = None,
                  checkpoint: str | None = None) -> DataFrame:
     """Run a streaming aggregate in ``complete`` mode into an in-memory
     table and return that table (SNK6, STM4).
 
-    ``available_now``: process what is there and stop (tests, batch
-    re-runs); otherwise run until ``timeout`` seconds have passed.  The
-    checkpoint lives under the shared checkpoint folder, so a restarted
-    query resumes from its committed offsets and state.
+    ``available_now``: process all that is there and stop (tests, batch
+    re-runs); a ``timeout`` in seconds that passes before the end raises
+    ``TimeoutError``, because the table would hold part of the input.
+    Otherwise run until ``timeout`` seconds have passed, which must be given;
+    the table then is the running result.  The checkpoint lives under the
+    shared checkpoint folder, so a restarted query resumes from its
+    committed offsets and state.
     """
+    if not available_now and timeout is None:
+        raise ValueError("a stream without an end needs a timeout")
     name = name or f"stream_{uuid.uuid4().hex[:8]}"
     checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams", name)
     writer = result.writeStream.outputMode("complete").format("memory").queryName(name) \
@@ -92,10 +100,12 @@ def run_to_table(spark: SparkSession, result: DataFrame, name: str | None = None
         writer = writer.trigger(availableNow=True)
     q = writer.start()
     try:
-        q.awaitTermination(timeout)
+        ended = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination() is None
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if available_now and not ended:
+        raise TimeoutError(f"the stream had not read all its input after {timeout} seconds")
     return spark.table(name)
