@@ -12,20 +12,27 @@ from pyspark.sql import functions as F
 # The accepted line shape and the time format of the log.
 # host - - [dd/Mon/yyyy:HH:mm:ss zone] "METHOD path HTTP/x.y" status bytes
 LOG_LINE = r'^(\S+) - - \[(\S+) [+-]\d+\] "[A-Z]+ (\S+) HTTP/\d\.\d" \d+ (\d+)$'
-LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
-OUT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 
-def is_log_line(line: Column) -> Column:
-    return line.rlike(LOG_LINE)
+def log_time(text: Column) -> Column:
+    """``dd/Mon/yyyy:HH:mm:ss`` as a timestamp without zone; NULL when it is
+    not one (an unknown month, the 31st of February)."""
+    month = F.instr(F.lit(MONTHS), F.regexp_extract(text, r"^\d{2}/([A-Z][a-z]{2})/", 1))
+    # names stand at every third place; '' and text across two names do not count
+    number = F.when(month % 3 == 1, F.lpad(((month + 2) / 3).cast("int").cast("string"), 2, "0"))
+    iso = F.concat(F.regexp_extract(text, r"/(\d{4}):", 1), F.lit("-"), number, F.lit("-"),
+                   F.substring(text, 1, 2), F.lit(" "), F.regexp_extract(text, r":(\d{2}:\d{2}:\d{2})$", 1))
+    return F.when(text.rlike(r"^\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}$"), iso.try_cast("timestamp_ntz"))
 
 
 def parse_log_lines(lines: DataFrame, line_col: str = "value",
                     keep_bad: bool = False) -> DataFrame:
     """Parse access-log lines into ``host, datetime, path, bytes``.
 
-    Lines that do not match (a ``-`` size, HTTP/0.9, junk) are dropped, or
-    kept with ``ok = false`` when ``keep_bad`` is set so they can be counted.
+    Lines that do not match (a ``-`` size, HTTP/0.9, junk), and lines whose
+    time does not exist, are dropped, or kept with ``ok = false`` when
+    ``keep_bad`` is set so they can be counted.
     ``datetime`` is a ``timestamp_ntz``; the zone offset is ignored.
     """
     line = F.col(line_col)
@@ -33,11 +40,11 @@ def parse_log_lines(lines: DataFrame, line_col: str = "value",
     # match, so no separate ``rlike`` pass is needed to tell good from bad.
     # Conversions run only on matching lines (ANSI mode raises on '').
     host = F.regexp_extract(line, LOG_LINE, 1)
-    ok = host != F.lit("")
+    time = log_time(F.regexp_extract(line, LOG_LINE, 2))
+    ok = F.coalesce((host != F.lit("")) & time.isNotNull(), F.lit(False))
     parsed = lines.select(
-        host.alias("host"),
-        F.when(ok, F.to_timestamp_ntz(F.regexp_extract(line, LOG_LINE, 2),
-                                      F.lit(LOG_TIME_FORMAT))).alias("datetime"),
+        F.when(ok, host).alias("host"),
+        F.when(ok, time).alias("datetime"),
         F.when(ok, F.regexp_extract(line, LOG_LINE, 3)).alias("path"),
         F.when(ok, F.regexp_extract(line, LOG_LINE, 4).try_cast("long")).alias("bytes"),
         ok.alias("ok"),
@@ -47,12 +54,34 @@ def parse_log_lines(lines: DataFrame, line_col: str = "value",
     return parsed.filter("ok").drop("ok")
 
 
-def with_row_id(df: DataFrame, columns: list[str] | None = None,
-                random: bool = False, name: str = "id") -> DataFrame:
-    """Row id (UID1).  By default a SHA-256 of the row's fields, so a reload
-    of the same data gives the same ids (idempotent appends); ``random=True``
-    gives a fresh ``uuid()`` per row."""
+def dropped_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """One row: lines read, and lines that :func:`parse_log_lines` rejects."""
+    return parse_log_lines(lines, line_col, keep_bad=True).agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.coalesce(F.sum(F.when(~F.col("ok"), 1)), F.lit(0)).alias("n_dropped"))
+
+
+_COPIES = 100_000
+
+
+def with_row_id(df: DataFrame, random: bool = False, name: str = "id") -> DataFrame:
+    """Unique row id (UID1).  By default a SHA-256 of the row's fields and the
+    row's number among its equals, so equal rows get different ids and a
+    reload of the same data gives the same ids; ``random=True`` gives a fresh
+    ``uuid()`` per row.
+
+    Equal rows are counted (with partial aggregation) and written out again
+    in blocks of at most ``_COPIES``, which a rebalance deals out, so that one
+    very frequent row is no task's burden.
+    """
     if random:
         return df.withColumn(name, F.expr("uuid()"))
-    cols = columns or df.columns
-    return df.withColumn(name, F.sha2(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols]), 256))
+    cols = df.columns
+    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    blocks = counts.withColumn("__b", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / _COPIES)))) \
+        .hint("rebalance")
+    upto = F.least(F.col("__n"), (F.col("__b") + 1) * _COPIES)
+    each = blocks.withColumn("__i", F.explode(F.sequence(F.col("__b") * _COPIES + 1, upto)))
+    text = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in cols],
+                       F.col("__i").cast("string"))
+    return each.select(*cols, F.sha2(text, 256).alias(name))

@@ -11,15 +11,15 @@ few numbers a job prints (a correlation, a score).
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions import logs, text
 from kestrel.ml import pipelines
 from kestrel.operators import aggregate, graph, joins, peaks, scan, stats, weather
 from kestrel.operators import etl as etl_ops
-from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.sources import files, sinks
 
 # Fixed schemas of the reference's inputs.
@@ -32,14 +32,14 @@ COLOUR_SCHEMA = "R int, G int, B int, word string, confidence string"
 
 def wordcount(spark: SparkSession, inputs: str, output: str) -> None:
     """Whitespace word count, ``'word count'`` lines sorted by word."""
-    words = text.explode_words(spread_for_cpu(files.read_lines(spark, inputs)), "value")
+    words = text.explode_words(files.read_lines(spark, inputs), "value")
     counts = aggregate.count_by_key(words, "word", "n").orderBy("word")
     sinks.write_lines(counts, output, fmt="%s %d")
 
 
 def wordcount_improved(spark: SparkSession, inputs: str, output: str) -> None:
     """Lower-cased words split on punctuation and whitespace."""
-    lines = spread_for_cpu(files.read_lines(spark, inputs))
+    lines = files.read_lines(spark, inputs)
     words = text.explode_words(lines, "value", lower=True, punct=True)
     counts = aggregate.count_by_key(words, "word", "n").orderBy("word")
     sinks.write_lines(counts, output, fmt="%s %d")
@@ -75,12 +75,22 @@ def wikipedia_popular(spark: SparkSession, inputs: str, output: str) -> None:
     """Most-viewed English pages per hour (ties kept) from space-delimited
     page-view files whose names carry the hour; JSON output."""
     raw = files.with_source_file(files.read_csv(spark, inputs, PAGE_VIEWS, sep=" ", quote=""))
-    hour = F.nullif(F.regexp_extract("file_name", r"(\d{8}-\d{2})", 1), F.lit(""))
+    hour = F.nullif(F.regexp_extract("file_path", r"(\d{8}-\d{2})[^/]*$", 1), F.lit(""))
     pages = etl_ops.page_views(raw.withColumn("hour", hour))
     top = peaks.rows_at_group_max_join(pages, "hour", "views", broadcast="checked")
     sinks.write_json(top.select("hour", "title", "views").orderBy("hour", "title"), output)
 
 
+def wikipedia_popular_rows(spark: SparkSession, inputs: str, output: str) -> None:
+    """Most-viewed English page per hour from white-space separated lines whose
+    first field is the hour: ``hour``, a tab, ``(views, title)`` (of equal views
+    the greatest title), sorted by hour.  Lines without five fields are left out."""
+    pages = etl_ops.page_views(etl_ops.hourly_page_lines(files.read_lines(spark, inputs)))
+    top = aggregate.argmax_by_key(pages, "hour", "views", "title").orderBy("hour")
+    pair = F.format_string("(%s, '%s')", F.col("views").cast("string"), F.col("title"))
+    sinks.write_lines(top.select("hour", pair.alias("top")), output)
+
+
 def weather_etl(spark: SparkSession, inputs: str, output: str, prefix: str = "CA") -> None:
     """Clean TMAX readings of stations with a prefix, in degrees, gzip JSON."""
     obs = files.read_csv(spark, inputs, weather.WEATHER_SCHEMA)
@@ -98,7 +108,7 @@ def temp_range(spark: SparkSession, inputs: str, output: str) -> None:
 def correlate_logs(spark: SparkSession, inputs: str) -> tuple[float, float]:
     """Correlation of requests and bytes per host over access-log files
     (plain or gzip); prints and returns r and r^2."""
-    parsed = logs.parse_log_lines(spread_for_cpu(files.read_lines(spark, inputs)))
+    parsed = logs.parse_log_lines(files.read_lines(spark, inputs))
     per_host = aggregate.count_and_sum(parsed, "host", "bytes", "n", "total")
     row = stats.correlation(per_host, "n", "total").first()
     print(f"r = {row.r}\nr^2 = {row.r2}")
@@ -106,14 +116,13 @@ def correlate_logs(spark: SparkSession, inputs: str) -> tuple[float, float]:
 
 
 def load_logs(spark: SparkSession, inputs: str, table: str, fmt: str = "parquet") -> None:
-    """Parse access logs and append them, with repeatable ids, to a table
-    partitioned by day."""
-    parsed = logs.parse_log_lines(spread_for_cpu(files.read_lines(spark, inputs)))
-    rows = logs.with_row_id(parsed.select(
-        "host", F.date_format("datetime", logs.OUT_TIME_FORMAT).alias("datetime"),
-        "path", "bytes"), ["host", "datetime", "path", "bytes"])
-    sinks.append_table(rows.withColumn("day", F.substring("datetime", 1, 10)), table, fmt,
-                       partition_by=["day"])
+    """Parse access logs into a table partitioned by day, with unique and
+    repeatable ids; the days of the input are replaced, so the same load
+    again gives the same table."""
+    parsed = logs.parse_log_lines(files.read_lines(spark, inputs))
+    rows = logs.with_row_id(parsed.select("host", F.col("datetime").cast("string").alias("datetime"),
+                                          "path", "bytes"))
+    sinks.replace_partitions(rows.withColumn("day", F.substring("datetime", 1, 10)), table, ["day"], fmt)
 
 
 def shortest_path(spark: SparkSession, inputs: str, output: str, source: str,
@@ -121,10 +130,10 @@ def shortest_path(spark: SparkSession, inputs: str, output: str, source: str,
     """Hop search on an adjacency-list graph: per-round table partitioned by
     round (CSV) and the path as text, one node per line; returns the path."""
     edges = graph.parse_adjacency(files.read_lines(spark, inputs))
-    paths = graph.bfs(spark, edges, int(source), max_rounds=int(rounds), target=int(dest))
-    graph.write_rounds(paths, f"{output}/rounds")
-    graph.write_path(paths, int(dest), f"{output}/path")
-    found = [r.node for r in graph.path_to(paths, int(dest)).orderBy("step").collect()]
+    found_by = graph.bfs_rounds(spark, edges, int(source), max_rounds=int(rounds), target=int(dest))
+    graph.write_rounds(reduce(DataFrame.union, found_by), f"{output}/rounds")
+    graph.write_path(found_by, int(dest), f"{output}/path")
+    found = [r.node for r in graph.path_to(found_by, int(dest)).orderBy("step").collect()]
     if not found:
         print("The path was not found")
     return found
@@ -156,8 +165,9 @@ def weather_train(spark: SparkSession, inputs: str, model_path: str) -> tuple[fl
     """Fit the next-day TMAX forest on a daily TMAX CSV and save it; prints
     validation r^2 and RMSE."""
     daily = files.read_csv(spark, inputs, TMAX_SCHEMA)
-    train, valid = pipelines.split(pipelines.tmax_features(daily))
-    model = pipelines.fit_cached(pipelines.forest_pipeline(), train)
+    keys = ["station", "date"]
+    train, valid = pipelines.split(pipelines.labelled(pipelines.tmax_features(daily), pipelines.FEATURES), keys)
+    model = pipelines.fit_cached(pipelines.forest_pipeline(), pipelines.bounded(train, keys))
     model.write().overwrite().save(model_path)
     r2, rmse = pipelines.regression_scores(model.transform(valid))
     print(f"r2 = {r2}\nrmse = {rmse}")
@@ -195,7 +205,7 @@ def read_stream(spark: SparkSession, source: str, fmt: str = "text",
 
 JOBS = {f.__name__: f for f in (
     wordcount, wordcount_improved, reddit_average, reddit_etl, relative_score,
-    wikipedia_popular, weather_etl, temp_range, correlate_logs, load_logs, shortest_path,
+    wikipedia_popular, wikipedia_popular_rows, weather_etl, temp_range, correlate_logs, load_logs, shortest_path,
     first_crossing, colour_predict, weather_train, weather_test, weather_tomorrow,
     read_stream)}
 

@@ -2,7 +2,7 @@
 
 Feature engineering is SQL or column expressions inside the pipeline
 (``SQLTransformer``), so the same stages run at fit and at scoring time.
-Splits are seeded; features are built *before* the split, so a row's
+Splits go by a hash of the rows' keys; features are built *before* the split, so a row's
 "yesterday" neighbour is found even when the two rows land in different
 splits.
 """
@@ -15,18 +15,38 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import colour
+from kestrel.operators.joins import previous_day_join
 from kestrel.sources.files import rows as literal_rows
 
 SEED = 1234
 
 
-def split(df: DataFrame, weights=(0.75, 0.25), seed: int = SEED):
-    """Seeded random train/validation split (ML1)."""
-    return df.randomSplit(list(weights), seed)
+#: Labelled rows that a model is fitted on at most; every row is scored.
+MAX_TRAIN_ROWS = 200_000
+
+
+def key_bucket(keys: list[str], buckets: int = 4) -> Column:
+    """Bucket 0 .. buckets - 1 of a row's keys, from the MD5 of their text."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
+
+
+def split(df: DataFrame, keys: list[str], buckets: int = 4):
+    """Train/validation split by a hash of the row's keys (ML1): about three
+    quarters of the rows train.  The same row lands on the same side whatever
+    the partitioning."""
+    marked = df.withColumn("__bucket", key_bucket(keys, buckets))
+    return (marked.filter("__bucket > 0").drop("__bucket"), marked.filter("__bucket = 0").drop("__bucket"))
+
+
+def bounded(train: DataFrame, keys: list[str], max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+    """At most about ``max_rows`` training rows, chosen by a hash of their keys."""
+    every = -(-train.count() // max_rows)
+    return train if every <= 1 else train.filter(F.pmod(F.xxhash64(*keys), F.lit(every)) == 0)
 
 
 def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
@@ -51,15 +71,21 @@ def mlp_pipeline(features: list[str], label: str, n_classes: int, hidden: int =
     if sql:
         stages.append(SQLTransformer(statement=sql))
     stages += [
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-        StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep"),
-        MultilayerPerceptronClassifier(layers=[len(features), hidden, n_classes + 1],
+        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
+        StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="skip"),
+        MultilayerPerceptronClassifier(layers=[len(features), hidden, n_classes],
                                        maxIter=max_iter, blockSize=128, seed=seed,
                                        labelCol="label_index", featuresCol="features"),
     ]
     return Pipeline(stages=stages)
 
 
+def labelled(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that have all of ``columns``: a missing label is no class of its own,
+    and a missing feature is no number."""
+    return df.dropna(subset=columns)
+
+
 def f1_score(predictions: DataFrame) -> float:
     """Multiclass score, default metric f1 (ML8)."""
     return MulticlassClassificationEvaluator(labelCol="label_index").evaluate(predictions)
@@ -76,7 +102,8 @@ def with_label_names(model: PipelineModel, predictions: DataFrame,
 def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
     """Fit RGB -> word and RGB -> LAB -> word classifiers; one score row each."""
     spark = colours.sparkSession
-    train, valid = split(colours, seed=seed)
+    train, valid = split(labelled(colours, ["R", "G", "B", "word"]), ["R", "G", "B", "word"])
+    train = bounded(train, ["R", "G", "B", "word"])
     n = len(colour.COLOUR_WORDS)
     rows = []
     for name, feats, sql in (
@@ -87,17 +114,18 @@ def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
     return literal_rows(spark, rows, "model string, f1 double")
 
 
-def vector_label_scores(df: DataFrame, vector: str, label: str, seed: int = SEED) -> DataFrame:
+def vector_label_scores(df: DataFrame, key: str, vector: str, label: str, seed: int = SEED) -> DataFrame:
     """Classify array features with an MLP; one row with split sizes and f1."""
     spark = df.sparkSession
-    data = df.select(array_to_vector(F.col(vector)).alias("features_in"),
-                     F.col(label).cast("string").alias("label"))
+    data = labelled(df, [key, vector, label]).select(
+        key, array_to_vector(F.col(vector)).alias("features_in"), F.col(label).cast("string").alias("label"))
     dim = len(data.first()["features_in"])
     n_classes = data.select("label").distinct().count()
-    train, valid = split(data, seed=seed)
+    train, valid = split(data, [key])
+    train = bounded(train, [key])
     pipe = Pipeline(stages=[
-        StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
-        MultilayerPerceptronClassifier(layers=[dim, 30, n_classes + 1], maxIter=100,
+        StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip"),
+        MultilayerPerceptronClassifier(layers=[dim, 30, n_classes], maxIter=100,
                                        blockSize=128, seed=seed, labelCol="label_index",
                                        featuresCol="features_in")])
     model = fit_cached(pipe, train)
@@ -115,34 +143,36 @@ def grid_predictions(model: PipelineModel, grid: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- regression
 
-DAY_OF_YEAR_SQL = "SELECT *, dayofyear(date) AS day_of_year FROM __THIS__"
-YESTERDAY_SQL = """
-    SELECT today.*, yesterday.tmax AS yesterday_tmax
-    FROM __THIS__ AS today JOIN __THIS__ AS yesterday
-      ON date_sub(today.date, 1) = yesterday.date AND today.station = yesterday.station"""
+#: Both derived columns in one statement: a day is paired with the row that names
+#: it as its next day, an equi-join on plain columns.
+FEATURE_SQL = """
+    SELECT d.*, dayofyear(d.date) AS day_of_year, p.tmax_before AS yesterday_tmax
+    FROM __THIS__ d
+    JOIN (SELECT station AS p_station, date_add(date, 1) AS next_date, tmax AS tmax_before FROM __THIS__) p
+      ON p.p_station = d.station AND p.next_date = d.date"""
 
 FEATURES = ["latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax"]
 
 
 def tmax_features(daily: DataFrame) -> DataFrame:
     """Day of year and yesterday's value as columns, built before any split."""
-    with_doy = SQLTransformer(statement=DAY_OF_YEAR_SQL).transform(daily)
-    return SQLTransformer(statement=YESTERDAY_SQL).transform(with_doy)
+    with_day = daily.withColumn("day_of_year", F.dayofyear("date"))
+    return previous_day_join(with_day, "station", "date", "tmax")
 
 
 def forest_pipeline(label: str = "tmax", depth: int = 10, bins: int = 40,
                     seed: int = SEED, sql_stages: bool = False) -> Pipeline:
     """Assemble -> random forest regressor, depth 10, 40 bins (ML2 ML6 ML7).
 
-    ``sql_stages=True`` puts the day-of-year and yesterday SQL statements
-    inside the pipeline, as stages (UDF4).  Then the yesterday join runs on
+    ``sql_stages=True`` puts the statement of both derived columns inside the
+    pipeline, as a stage (UDF4).  Then the yesterday join runs on
     whatever rows the pipeline is given, so a row whose previous day went to
     the other split has no neighbour.  The default expects features built
     first (:func:`tmax_features`), before any split.
     """
     stages = []
     if sql_stages:
-        stages += [SQLTransformer(statement=DAY_OF_YEAR_SQL), SQLTransformer(statement=YESTERDAY_SQL)]
+        stages.append(SQLTransformer(statement=FEATURE_SQL))
     stages += [
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
         RandomForestRegressor(labelCol=label, featuresCol="features", maxDepth=depth,
@@ -151,9 +181,13 @@ def forest_pipeline(label: str = "tmax", depth: int = 10, bins: int = 40,
 
 
 def regression_scores(predictions: DataFrame, label: str = "tmax") -> tuple[float, float]:
-    """R^2 and RMSE (ML9)."""
-    r2 = RegressionEvaluator(labelCol=label, metricName="r2").evaluate(predictions)
-    rmse = RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(predictions)
+    """R^2 and RMSE (ML9), of predictions that are made once."""
+    kept = predictions.select(label, "prediction").persist()
+    try:
+        r2 = RegressionEvaluator(labelCol=label, metricName="r2").evaluate(kept)
+        rmse = RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(kept)
+    finally:
+        kept.unpersist()
     return float(r2), float(rmse)
 
 

@@ -54,16 +54,15 @@ def argmax_by_key(df: DataFrame, keys, value: str, payload: str,
     """One row per key: the largest ``value`` and its ``payload`` (AGG5).
 
     A tie on ``value`` goes to the greatest payload, so the answer does not
-    depend on merge order.  ``max(struct(v, p))`` is an ordinary partial
-    aggregate, so skewed keys are combined map-side.  Rows with a NULL value
-    are ignored.
+    depend on merge order.  First the greatest payload of each (key, value),
+    then the payload of the largest value: both aggregates keep fixed-width
+    buffers, so Spark hashes (a struct buffer would be sorted), and both
+    combine map-side.  Rows with a NULL value are ignored; a key with no
+    other rows keeps NULLs.
     """
-    best = F.max(F.when(F.col(value).isNotNull(),
-                        F.struct(F.col(value).alias("v"), F.col(payload).alias("p"))))
-    return df.groupBy(*_cols(keys)).agg(best.alias("__best")).select(
-        *_cols(keys),
-        F.col("__best.v").alias(out_value or value),
-        F.col("__best.p").alias(out_payload or payload))
+    by_value = df.groupBy(*_cols(keys), F.col(value).alias("__v")).agg(F.max(payload).alias("__p"))
+    return by_value.groupBy(*_cols(keys)).agg(
+        F.max("__v").alias(out_value or value), F.max_by("__p", "__v").alias(out_payload or payload))
 
 
 def count_and_sum(df: DataFrame, keys, value: str, n_out: str = "n",

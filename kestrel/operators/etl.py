@@ -26,8 +26,10 @@ def observations(df: DataFrame, flag: str, station: str, prefix: str,
 def segment_rows(df: DataFrame, segment: str, letter: str, score: str,
                  positive: bool, fields: list[str]) -> DataFrame:
     """Rows whose ``segment`` contains ``letter``, split by the sign of
-    ``score`` (``> 0`` / ``<= 0``), keeping ``fields`` (FLT3, FLT5, PRJ1)."""
-    sign = (F.col(score) > 0) if positive else (F.col(score) <= 0)
+    ``score`` (``> 0``, or not), keeping ``fields`` (FLT3, FLT5, PRJ1).  A NULL
+    score is not positive, so the two sides are complementary."""
+    above = F.coalesce(F.col(score) > 0, F.lit(False))
+    sign = above if positive else ~above
     return df.filter(F.col(segment).contains(letter) & sign).select(*fields)
 
 
@@ -61,3 +63,13 @@ def page_views(df: DataFrame, locale: str = "en", excluded_title: str = "Main_Pa
     special page (FLT1 equality and inequality, FLT2 negated prefix, FLT6)."""
     return df.filter((F.col("locale") == locale) & (F.col("title") != excluded_title) &
                      ~F.col("title").startswith(excluded_prefix))
+
+
+def hourly_page_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``hour locale title views bytes`` lines, cut at white space, as typed
+    columns; lines without five fields, or with a count that is none, are left out."""
+    parts = F.split(F.trim(F.col(col)), r"\s+")
+    rows = lines.select(parts.alias("p")).filter(F.size("p") == 5)
+    return rows.select(F.col("p")[0].alias("hour"), F.col("p")[1].alias("locale"), F.col("p")[2].alias("title"),
+                       F.col("p")[3].try_cast("bigint").alias("views"),
+                       F.col("p")[4].try_cast("bigint").alias("bytes")).filter(F.col("views").isNotNull())

@@ -1,18 +1,19 @@
 """Hop distances and shortest paths on an edge table (GRF1-GRF5, JN7,
 SET1, AGG11).
 
-Breadth-first search as a short driver loop of DataFrame rounds.  Each
-round joins only the *frontier* (nodes first reached in the previous
-round) with the edges, keeps for every newly reached node the smallest
-parent, and removes nodes already known with an anti-join.  Every round's
-new rows are checkpointed to the shared checkpoint folder (reliable, so a
-lost executor does not lose them) and the plan of the next round starts
-from those files; lineage never grows.  Each round runs two jobs: the
-checkpoint write and one small aggregate (how many new nodes, is the
-target among them).
-
-The path of every node is carried along as an array, so no path is rebuilt
-by collecting parents to the driver.
+Breadth-first search as a short driver loop of DataFrame rounds.  The edges
+are made distinct once and laid out by their source node in the shared
+checkpoint folder, so that no round shuffles them again.  Each round joins
+only the *frontier* (nodes first reached in the previous round) with them,
+keeps for every newly reached node the smallest parent, and removes nodes
+already known with an anti-join.  A round's new rows (node, parent, distance)
+go to the shared folder (reliable, so a lost executor does not lose them) and
+the plan of the next round starts from those files; lineage never grows.  Only
+one number per round comes to the driver: how many new nodes there are, or
+whether the target is among them.
+
+Distances need no paths.  Paths are put together afterwards, one round after
+the other, by joining each round's nodes with the paths of their parents.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from kestrel.session import checkpoint_root
 from kestrel.sources.files import rows
 
-PATHS_SCHEMA = "node bigint, source bigint, distance int, path array<bigint>"
+TREE_SCHEMA = "node bigint, source bigint, distance int"
 
 
 def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -45,70 +46,88 @@ def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
         .filter(F.col("src").isNotNull() & F.col("dest").isNotNull())
 
 
-def bfs(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
-        target: int | None = None, src: str = "src", dest: str = "dest") -> DataFrame:
-    """Hop distance, parent and path from ``source`` (GRF2, GRF3, GRF5).
+def prepared_edges(edges: DataFrame, src: str = "src", dest: str = "dest") -> DataFrame:
+    """Distinct edges, hashed by source node and checkpointed in that layout."""
+    spark = edges.sparkSession
+    checkpoint_root(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return edges.select(F.col(src).cast("bigint").alias("src"), F.col(dest).cast("bigint").alias("dest")) \
+        .filter(F.col("src").isNotNull() & F.col("dest").isNotNull()) \
+        .distinct().repartition(n, "src").checkpoint(eager=True)
+
 
-    Returns ``node, source, distance, path`` for every node reached.  The
-    parent (``source``) of a node is the smallest node of the previous
+def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
+               target: int | None = None, src: str = "src", dest: str = "dest") -> list[DataFrame]:
+    """The search as one table ``node, source, distance`` per round, from the
+    seed on (GRF2, GRF3).
+
+    The parent (``source``) of a node is the smallest node of the previous
     round with an edge to it.  Stops when no new node is found (GRF3),
     after ``max_rounds`` rounds, or -- when ``target`` is given -- after
     the round that reaches it (GRF2).
     """
-    checkpoint_root(spark)  # make sure a reliable checkpoint folder exists
-    e = edges.select(F.col(src).cast("bigint").alias("src"),
-                     F.col(dest).cast("bigint").alias("dest")) \
-        .filter(F.col("src").isNotNull() & F.col("dest").isNotNull())
-    seed = rows(spark, [(int(source), int(source), 0, [int(source)])], PATHS_SCHEMA)
-    rounds = [seed]
-    frontier = seed
+    e = prepared_edges(edges, src, dest)
+    rounds = [rows(spark, [(int(source), int(source), 0)], TREE_SCHEMA)]
     if target is not None and int(target) == int(source):
-        return seed
-    r = 0
-    while max_rounds is None or r < max_rounds:
-        r += 1
-        known = reduce(lambda a, b: a.unionByName(b), rounds)
-        step = frontier.join(e, frontier["node"] == e["src"]) \
-            .groupBy(e["dest"].alias("node")) \
-            .agg(F.min(F.struct(e["src"].alias("s"), frontier["path"].alias("p"))).alias("best"))
-        new = step.join(known.select("node"), "node", "left_anti").select(
-            "node", F.col("best.s").alias("source"), F.lit(r).alias("distance"),
-            F.concat(F.col("best.p"), F.array(F.col("node"))).alias("path"))
-        new = new.checkpoint(eager=True)
-        stats = new.agg(F.count(F.lit(1)).alias("n"),
-                        F.max(F.col("node") == F.lit(target) if target is not None
-                              else F.lit(False)).alias("hit")).first()
+        return rounds
+    while max_rounds is None or len(rounds) <= max_rounds:
+        known = reduce(DataFrame.union, [r.select("node") for r in rounds])
+        frontier = rounds[-1].select(F.col("node").alias("src"))
+        new = e.join(frontier, "src").groupBy(F.col("dest").alias("node")).agg(F.min("src").alias("source")) \
+            .join(known, "node", "left_anti") \
+            .select("node", "source", F.lit(len(rounds)).alias("distance")).checkpoint(eager=True)
+        hit = F.max(F.col("node") == F.lit(target)) if target is not None else F.lit(False)
+        stats = new.agg(F.count(F.lit(1)).alias("n"), hit.alias("hit")).first()
         if stats["n"] == 0:
             break
         rounds.append(new)
-        frontier = new
         if stats["hit"]:
             break
-    return reduce(lambda a, b: a.unionByName(b), rounds)
-
+    return rounds
 
-def path_to(paths: DataFrame, target: int) -> DataFrame:
-    """The path to one node as rows ``(step, node)``; empty when the node
-    was not reached (GRF5)."""
-    return paths.filter(F.col("node") == F.lit(target)) \
-        .select(F.posexplode("path").alias("step", "node"))
 
-
-def rounds_table(paths: DataFrame) -> DataFrame:
-    """Per-round view of the search (GRF4): the rows known after round k
-    are those with ``distance <= k``."""
-    return paths.select("node", "source", "distance")
-
-
-def write_rounds(paths: DataFrame, output: str, fmt: str = "csv") -> None:
+def bfs(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
+        target: int | None = None, src: str = "src", dest: str = "dest") -> DataFrame:
+    """``node, source, distance`` of every node reached (see :func:`bfs_rounds`)."""
+    return reduce(DataFrame.union, bfs_rounds(spark, edges, source, max_rounds, target, src, dest))
+
+
+def with_paths(rounds: list[DataFrame]) -> DataFrame:
+    """``node, source, distance, path`` from the tables of the rounds (GRF5): each
+    round's paths are its parents' paths and the node itself."""
+    paths = rounds[0].withColumn("path", F.array("node"))
+    done = [paths]
+    for new in rounds[1:]:
+        parents = paths.select(F.col("node").alias("source"), F.col("path").alias("__p"))
+        paths = new.join(parents, "source").select(
+            "node", "source", "distance", F.concat("__p", F.array("node")).alias("path")).checkpoint(eager=True)
+        done.append(paths)
+    return reduce(DataFrame.union, done)
+
+
+def path_to(rounds: list[DataFrame], target: int) -> DataFrame:
+    """The path to one node as rows ``(step, node)``; empty when the node was not
+    reached (GRF5).  Walks back from the target, one node a round, so only the
+    path itself (at most one number per round) comes to the driver."""
+    spark = rounds[0].sparkSession
+    found, node = [], target
+    for r in reversed(rounds):
+        row = r.filter(F.col("node") == F.lit(node)).select("source", "distance").first()
+        if row is not None:
+            found.append((row["distance"], int(node)))
+            node = row["source"]
+    return rows(spark, found[::-1], "step int, node bigint")
+
+
+def write_rounds(tree: DataFrame, output: str, fmt: str = "csv") -> None:
     """Write the search as one table partitioned by round (GRF4): folder
     ``distance=k`` holds the nodes first reached in round k, so the state
     after round k is ``distance <= k`` -- one write instead of one full copy
     per round."""
-    rounds_table(paths).write.mode("overwrite").partitionBy("distance").format(fmt).save(output)
+    tree.select("node", "source", "distance").write.mode("overwrite").partitionBy("distance").format(fmt).save(output)
 
 
-def write_path(paths: DataFrame, target: int, output: str) -> None:
+def write_path(rounds: list[DataFrame], target: int, output: str) -> None:
     """Write the path to ``target`` as text, one node per line, in order (GRF5)."""
-    path_to(paths, target).orderBy("step").select(F.col("node").cast("string").alias("value")) \
+    path_to(rounds, target).orderBy("step").select(F.col("node").cast("string").alias("value")) \
         .coalesce(1).write.mode("overwrite").text(output)

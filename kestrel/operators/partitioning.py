@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default:
-    the cluster's default parallelism) *only* when its scan yields fewer.
+def spread_for_cpu(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt round-robin over ``partitions`` tasks, or as it is when
+    ``partitions`` is not given.
 
     A single unsplittable file (gzip text, a one-row-group parquet file)
     is read by one task; regex tokenising or parsing after it would then
-    run on one core.  Inputs that already arrive in enough splits -- the
-    normal case for a large table -- are left alone, so no shuffle is added
-    where it buys nothing.  Counting partitions plans the query; it runs no
-    job.
+    run on one core.  The caller knows its files and says so; a large table
+    that arrives in many splits needs no shuffle here.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df if partitions is None else df.repartition(partitions)

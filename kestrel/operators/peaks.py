@@ -11,8 +11,8 @@ maximum" (ties kept):
   with :func:`kestrel.operators.joins.join_per_key`: broadcast when the
   maxima are proven small, hot groups salted otherwise.
 
-NULL values are dropped first in both forms: the join form loses them
-anyway (``NULL = max`` is not true), and the window form must agree.
+Both forms drop NULL values first, and keep rows whose group is NULL: they
+are a group of their own.
 """
 
 from __future__ import annotations

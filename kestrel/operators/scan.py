@@ -32,7 +32,8 @@ def running_sum(df: DataFrame, group: str, order: list[str], value: str,
                 chunks: int | None = None, sum_out: str = "running_sum",
                 pos_out: str = "position") -> DataFrame:
     """Append the 1-based position of each row inside its group (in
-    ``order``) and the running sum of ``value`` up to and including it."""
+    ``order``) and the running sum of ``value`` up to and including it.  A
+    NULL value adds nothing; a NULL group is a group of its own."""
     chunked = (df.repartitionByRange(chunks, group, *order) if chunks
                else df.repartitionByRange(group, *order))
     # Both branches below must see the *same* range cut: a second exchange
@@ -53,11 +54,13 @@ def running_sum(df: DataFrame, group: str, order: list[str], value: str,
 
     inside = Window.partitionBy(group, "__chunk").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return chunked.join(offsets, [group, "__chunk"]).select(
+    offsets = offsets.withColumnsRenamed({group: "__g", "__chunk": "__c"})
+    same = chunked[group].eqNullSafe(offsets["__g"]) & (chunked["__chunk"] == offsets["__c"])
+    return chunked.join(offsets, same).select(
         *df.columns,
         (F.col("__n0") + F.row_number().over(
             Window.partitionBy(group, "__chunk").orderBy(*order))).alias(pos_out),
-        (F.col("__s0") + F.sum(value).over(inside)).alias(sum_out))
+        (F.col("__s0") + F.coalesce(F.sum(value).over(inside), F.lit(0))).alias(sum_out))
 
 
 def first_crossing(df: DataFrame, group: str, order: list[str], value: str,

@@ -7,6 +7,8 @@ match the Spark side.
 
 from __future__ import annotations
 
+from kestrel.functions.logs import LOG_LINE
+
 # Java's \s (ASCII) and \p{Punct} (ASCII punctuation) as RE2 classes.
 _WS = r"[ \t\n\x0B\f\r]+"
 _PUNCT = r"[!-/:-@\[-`{-~ \t\n\x0B\f\r]+"
@@ -31,7 +33,7 @@ _LOG_LINES = r"""
                      ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END) AS line
   FROM events"""
 
-_LOG_RE = r"""'^(\S+) - - \[(\S+) [+-]\d+\] "[A-Z]+ (\S+) HTTP/\d\.\d" \d+ (\d+)$'"""
+_LOG_RE = "'" + LOG_LINE + "'"  # the line's shape is a fixed value, stated once
 
 _PARSED = f"""
   SELECT regexp_extract(line, {_LOG_RE}, 1) AS host,
@@ -65,17 +67,23 @@ _REL = """
   FROM s JOIN m USING (c_nationkey) ORDER BY relative_score DESC"""
 
 _BFS_BASE = """
-  WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, o_orderkey % 1500 AS dest FROM orders),
+  WITH RECURSIVE e AS (
+    SELECT DISTINCT o_custkey AS src, o_orderkey % (SELECT count(*) FROM customer) AS dest FROM orders),
   walk(node, distance) AS (
     SELECT CAST(1 AS BIGINT), 0
     UNION
-    SELECT e.dest, w.distance + 1 FROM walk w JOIN e ON w.node = e.src WHERE w.distance < 6),
+    SELECT e.dest, w.distance + 1 FROM walk w JOIN e ON w.node = e.src WHERE w.distance < {rounds}),
   dist AS (SELECT node, min(distance) AS distance FROM walk GROUP BY node),
   parents AS (SELECT e.dest AS node, p.distance + 1 AS distance, min(e.src) AS source
               FROM e JOIN dist p ON p.node = e.src GROUP BY 1, 2),
   tree AS (SELECT d.node, coalesce(pa.source, d.node) AS source, d.distance
            FROM dist d LEFT JOIN parents pa ON pa.node = d.node AND pa.distance = d.distance)"""
 
+# No shortest path has as many hops as there are rounds here: 40 is far beyond
+# the depth of these graphs, and the walk keeps (node, distance) pairs distinct.
+_SIX = _BFS_BASE.replace("{rounds}", "6")
+_BFS_BASE = _BFS_BASE.replace("{rounds}", "40")
+
 _PATHS = _BFS_BASE + """,
   paths(node, distance, path) AS (
     SELECT node, distance, CAST(node AS VARCHAR) FROM tree WHERE distance = 0
@@ -87,35 +95,39 @@ _COLOURS = """
   SELECT p_partkey, CAST(p_partkey % 256 AS INTEGER) AS R, CAST((p_size * 5) % 256 AS INTEGER) AS G,
          CAST(CAST(trunc(p_retailprice) AS BIGINT) % 256 AS INTEGER) AS B FROM part"""
 
+# Colour standard (sRGB to XYZ at D65, then CIELAB) as relations: a row per
+# channel, a row per (axis, channel) of the matrix, a row per axis.  Fixed values.
 _LAB = f"""
   WITH c AS ({_COLOURS}),
-  s1 AS (SELECT *, R / 255.0::DOUBLE AS r1, G / 255.0::DOUBLE AS g1, B / 255.0::DOUBLE AS b1 FROM c),
-  s2 AS (SELECT *, CASE WHEN r1 > 0.04045 THEN pow((r1 + 0.055) / 1.055, 2.4) ELSE r1 / 12.92 END AS r2,
-                   CASE WHEN g1 > 0.04045 THEN pow((g1 + 0.055) / 1.055, 2.4) ELSE g1 / 12.92 END AS g2,
-                   CASE WHEN b1 > 0.04045 THEN pow((b1 + 0.055) / 1.055, 2.4) ELSE b1 / 12.92 END AS b2 FROM s1),
-  s3 AS (SELECT *, (r2*0.412453 + g2*0.357580 + b2*0.180423)/0.95047 AS x1,
-                   (r2*0.212671 + g2*0.715160 + b2*0.072169) AS y1,
-                   (r2*0.019334 + g2*0.119193 + b2*0.950227)/1.08883 AS z1 FROM s2),
-  s4 AS (SELECT *, CASE WHEN x1 > 0.008856 THEN pow(x1, 1.0::DOUBLE/3.0::DOUBLE) ELSE 7.787*x1 + 16.0::DOUBLE/116.0::DOUBLE END AS x2,
-                   CASE WHEN y1 > 0.008856 THEN pow(y1, 1.0::DOUBLE/3.0::DOUBLE) ELSE 7.787*y1 + 16.0::DOUBLE/116.0::DOUBLE END AS y2,
-                   CASE WHEN z1 > 0.008856 THEN pow(z1, 1.0::DOUBLE/3.0::DOUBLE) ELSE 7.787*z1 + 16.0::DOUBLE/116.0::DOUBLE END AS z2 FROM s3)
-  SELECT p_partkey, R, G, B, (floor((116*y2 - 16) * 1e4 + 0.5) / 1e4) AS labL, (floor((500*(x2 - y2)) * 1e4 + 0.5) / 1e4) AS labA,
-         (floor((200*(y2 - z2)) * 1e4 + 0.5) / 1e4) AS labB FROM s4"""
+  matrix(axis, channel, weight, white) AS (VALUES
+    ('X', 'R', 0.412453::DOUBLE, 0.95047::DOUBLE), ('X', 'G', 0.357580, 0.95047), ('X', 'B', 0.180423, 0.95047),
+    ('Y', 'R', 0.212671, 1.0), ('Y', 'G', 0.715160, 1.0), ('Y', 'B', 0.072169, 1.0),
+    ('Z', 'R', 0.019334, 1.08883), ('Z', 'G', 0.119193, 1.08883), ('Z', 'B', 0.950227, 1.08883)),
+  channels AS (SELECT p_partkey, channel, byte / 255.0::DOUBLE AS u FROM c UNPIVOT (byte FOR channel IN (R, G, B))),
+  axes AS (
+    SELECT p_partkey, axis, sum(weight * CASE WHEN u <= 0.04045 THEN u / 12.92
+                                              ELSE ((u + 0.055) / 1.055) ** 2.4::DOUBLE END) / any_value(white) AS t
+    FROM channels JOIN matrix USING (channel) GROUP BY p_partkey, axis),
+  bent AS (
+    PIVOT (SELECT p_partkey, axis, CASE WHEN t <= 0.008856 THEN 7.787 * t + 16 / 116::DOUBLE
+                                        ELSE t ** (1 / 3::DOUBLE) END AS f FROM axes)
+    ON axis IN ('X', 'Y', 'Z') USING any_value(f))
+  SELECT c.*, floor((116 * Y - 16) * 1e4 + 0.5) / 1e4 AS labL, floor(500 * (X - Y) * 1e4 + 0.5) / 1e4 AS labA,
+         floor(200 * (Y - Z) * 1e4 + 0.5) / 1e4 AS labB
+  FROM c JOIN bent USING (p_partkey)"""
 
+# Hue by the place of the last largest channel: sixths of the circle from red, plus
+# the signed distance of the two channels after it.
 _HSV = f"""
   WITH c AS ({_COLOURS}),
-  s1 AS (SELECT *, R / 255.0::DOUBLE AS r1, G / 255.0::DOUBLE AS g1, B / 255.0::DOUBLE AS b1 FROM c),
-  s2 AS (SELECT *, CASE WHEN r1 > g1 AND r1 > b1 THEN r1 ELSE (CASE WHEN g1 > b1 THEN g1 ELSE b1 END) END AS mx,
-                   CASE WHEN r1 < g1 AND r1 < b1 THEN r1 ELSE (CASE WHEN g1 < b1 THEN g1 ELSE b1 END) END AS mn
-         FROM s1),
-  s3 AS (SELECT *, mx - mn AS delta FROM s2),
-  s4 AS (SELECT *, (CASE WHEN delta = 0 THEN 0 ELSE
-                     CASE WHEN r1 > g1 AND r1 > b1 THEN (g1 - b1) / delta
-                          WHEN g1 > b1 THEN 2 + (b1 - r1) / delta
-                          ELSE 4 + (r1 - g1) / delta END END) / 6 AS h,
-                   CASE WHEN delta = 0 THEN 0 ELSE delta / mx END AS s FROM s3)
-  SELECT p_partkey, R, G, B, CASE WHEN h < 0 THEN h + 1 ELSE h END AS H,
-         s AS S, mx AS V FROM s4"""
+  v AS (SELECT *, [R / 255::DOUBLE, G / 255::DOUBLE, B / 255::DOUBLE] AS u FROM c),
+  e AS (SELECT *, list_max(u) AS top, list_max(u) - list_min(u) AS spread,
+               4 - list_position(list_reverse(u), list_max(u)) AS place FROM v),
+  h AS (SELECT *, CASE WHEN spread = 0 THEN 0::DOUBLE
+                       ELSE (2 * (place - 1) + (u[place % 3 + 1] - u[(place + 1) % 3 + 1]) / spread) / 6 END AS turn
+        FROM e)
+  SELECT p_partkey, R, G, B, turn + CASE WHEN turn < 0 THEN 1 ELSE 0 END AS H,
+         CASE WHEN spread = 0 THEN 0 ELSE spread / top END AS S, top AS V FROM h"""
 
 _CROSSING = """
   SELECT user_id, min(pos) AS steps FROM (
@@ -164,7 +176,7 @@ ORACLE = {
     "etl_positive": """SELECT c_mktsegment, c_acctbal, c_name FROM customer
         WHERE contains(c_mktsegment, 'E') AND c_acctbal > 0""",
     "etl_nonpositive": """SELECT c_mktsegment, c_acctbal, c_name FROM customer
-        WHERE contains(c_mktsegment, 'E') AND c_acctbal <= 0""",
+        WHERE contains(c_mktsegment, 'E') AND NOT coalesce(c_acctbal > 0, false)""",
     "json_fields": """SELECT event_id, k, json_object('event_id', event_id, 'k', k)::VARCHAR AS json
         FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",
     "variant_fields": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
@@ -173,15 +185,16 @@ ORACLE = {
     "relative_score_broadcast": _REL,
     "observation_etl": f"""SELECT 'U' || CAST(user_id AS VARCHAR) AS station, {_DAY} AS date,
         (floor((value / 10) * 1e4 + 0.5) / 1e4) AS tmax FROM events
-        WHERE json_extract_string(props, '$.qflag') IS NULL
+        WHERE event_id % 29 <> 0
           AND starts_with('U' || CAST(user_id AS VARCHAR), 'U1') AND event_type = 'purchase'""",
     "daily_range_peak": _DAILY_RANGE_PEAK,
     "daily_range_peak_sql": _DAILY_RANGE_PEAK,
-    "rows_by_source_file": """SELECT 'events.parquet' AS file_name, CAST(NULL AS VARCHAR) AS stamp,
-        count(*) AS n_rows FROM events
-        UNION ALL SELECT 'orders.parquet', CAST(NULL AS VARCHAR), count(*) FROM orders""",
+    "rows_by_source_file": """SELECT 'events.parquet' AS "table", count(*) AS n_rows, 1 AS path_names_table
+        FROM events UNION ALL SELECT 'orders.parquet', count(*), 1 FROM orders""",
     "log_parse": f"""SELECT host, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, path, bytes
         FROM ({_PARSED})""",
+    "log_dropped": f"""SELECT count(*) AS n_lines,
+        count(*) FILTER (WHERE NOT regexp_matches(line, {_LOG_RE})) AS n_dropped FROM ({_LOG_LINES})""",
     "host_correlation": f"""SELECT count(*) AS n_hosts, (floor((corr(n_requests, sum_bytes)) * 1e6 + 0.5) / 1e6) AS r,
         (floor((pow(corr(n_requests, sum_bytes), 2)) * 1e6 + 0.5) / 1e6) AS r2 FROM ({_PER_HOST})""",
     "moments_correlation": f"""SELECT count(*) AS n_hosts, (floor((corr(n_requests, sum_bytes)) * 1e6 + 0.5) / 1e6) AS r
@@ -201,6 +214,13 @@ ORACLE = {
         UNION ALL SELECT s_name, s_nationkey, 'supplier' FROM supplier""",
     "bfs_distance": _BFS_BASE + "\n  SELECT node, source, distance FROM tree",
     "bfs_path": _PATHS + "\n  SELECT node, distance, path FROM paths",
+    "bfs_six_rounds": _SIX + "\n  SELECT distance, count(*) AS n_nodes, min(node) AS first_node FROM tree GROUP BY 1",
+    "bfs_one_path": _PATHS + """,
+  longest AS (SELECT string_split(path, ',') AS p FROM paths ORDER BY node DESC LIMIT 1)
+  SELECT CAST(i - 1 AS INTEGER) AS step, CAST(p[i] AS BIGINT) AS node
+  FROM (SELECT p, unnest(range(1, len(p) + 1)) AS i FROM longest)""",
+    "adjacency_edges": """SELECT DISTINCT o_custkey AS src, o_orderkey % (SELECT count(*) FROM customer) AS dest
+        FROM orders""",
     "rgb_to_lab": _LAB,
     "rgb_to_hsv": _HSV,
     "first_crossing_by_user": _CROSSING,
@@ -237,7 +257,7 @@ _WEATHER = """
          CASE WHEN event_type = 'purchase' THEN 'TMAX' WHEN event_type = 'click' THEN 'TMIN'
               ELSE upper(event_type) END AS observation,
          CAST(round(value * 10) AS INTEGER) AS value,
-         CASE WHEN value > 45 THEN 'X' END AS qflag
+         CASE WHEN event_id % 29 = 0 THEN 'X' END AS qflag
   FROM events"""
 
 _TEMP_RANGE = f"""
@@ -260,7 +280,62 @@ ORACLE.update({
         (floor((avg(c_acctbal)) * 1e6 + 0.5) / 1e6) AS avg_score, CAST(0 AS BIGINT) AS n_gilded
         FROM customer GROUP BY 1""",
     "text_source_wordcount": f"SELECT word, count(*) AS n FROM ({_WORDS_WS}) GROUP BY word",
-    "log_ingest": f"""SELECT sha256(concat_ws(chr(1), host, datetime, path, CAST(bytes AS VARCHAR))) AS id,
+    "log_ingest": f"""SELECT sha256(concat_ws(chr(1), host, datetime, path, CAST(bytes AS VARCHAR),
+          CAST(row_number() OVER (PARTITION BY host, datetime, path, bytes) AS VARCHAR))) AS id,
         host, datetime, path, bytes FROM ({_LOG_ROWS})""",
     "host_correlation_from_table": ORACLE["host_correlation"],
 })
+
+
+_DAILY = """
+  SELECT CAST(user_id AS VARCHAR) AS station, CAST(ts AS DATE) AS date, max(value) AS tmax
+  FROM events GROUP BY 1, 2"""
+
+ORACLE.update({
+    "split_sizes": """SELECT CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 4 = 0
+          THEN 'valid' ELSE 'train' END AS side, label, count(*) AS n FROM embeddings GROUP BY 1, 2""",
+    "tmax_features": f"""WITH d AS ({_DAILY})
+        SELECT t.station, strftime(t.date, '%Y-%m-%d') AS date, CAST(dayofyear(t.date) AS INTEGER) AS day_of_year,
+               t.tmax, y.tmax AS yesterday_tmax
+        FROM d t JOIN d y ON y.station = t.station AND y.date + 1 = t.date""",
+    "next_day_inputs": f"""WITH d AS ({_DAILY})
+        SELECT station, strftime(date + 1, '%Y-%m-%d') AS date, CAST(dayofyear(date + 1) AS INTEGER) AS day_of_year,
+               tmax AS yesterday_tmax
+        FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY date DESC) AS r FROM d) WHERE r = 1""",
+})
+
+_VIEWS = """
+  SELECT strftime(ts, '%Y%m%d-%H') AS hour, CASE WHEN event_type = 'error' THEN 'fr' ELSE 'en' END AS locale,
+         CASE WHEN user_id % 11 = 0 THEN 'Main_Page' WHEN user_id % 7 = 0 THEN 'Special:' || user_id
+              WHEN user_id % 5 = 0 THEN '"Page_' || user_id ELSE 'Page_' || user_id END AS title,
+         event_id % 97 AS views
+  FROM events"""
+
+_PAGES = f"""SELECT * FROM ({_VIEWS}) WHERE locale = 'en' AND title <> 'Main_Page' AND NOT starts_with(title, 'Special:')"""
+
+_MONTHS = """
+  SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS spend FROM orders GROUP BY 1"""
+
+ORACLE.update({
+    "typed_load": """
+        WITH c AS (SELECT c_custkey, 'P' || (c_nationkey % 10) AS province FROM customer WHERE c_custkey % 50 <> 0),
+             p AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(12,2)) AS amount FROM orders WHERE o_orderkey % 40 <> 0)
+        SELECT province, count(*) AS n_purchases, CAST(sum(amount) AS DECIMAL(38,2)) AS spend
+        FROM p JOIN c ON o_custkey = c_custkey GROUP BY 1
+        UNION ALL SELECT 'bad_json', count(*), NULL FROM customer WHERE c_custkey % 50 = 0
+        UNION ALL SELECT 'bad_csv', count(*), NULL FROM orders WHERE o_orderkey % 40 = 0""",
+    "external_partitions": f"""SELECT *, 'added' AS step FROM ({_MONTHS}) WHERE month = '1996-03'
+        UNION ALL SELECT *, 'discovered' FROM ({_MONTHS})""",
+    "struct_vs_variant": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS declared_k,
+        CAST(json_extract(props, '$.k') AS BIGINT) AS variant_k, event_type AS kind, CAST(NULL AS VARCHAR) AS none
+        FROM events""",
+    "page_peak": f"""SELECT hour AS stamp, title, views FROM (
+        SELECT *, rank() OVER (PARTITION BY hour ORDER BY views DESC) AS r FROM ({_PAGES})) WHERE r = 1""",
+    "page_peak_rows": f"""SELECT hour, views, title FROM (
+        SELECT *, row_number() OVER (PARTITION BY hour ORDER BY views DESC, title DESC) AS r FROM ({_PAGES}))
+        WHERE r = 1""",
+    "etl_split": """SELECT CASE WHEN coalesce(c_acctbal > 0, false) THEN 'positive' ELSE 'negative' END AS side,
+        c_mktsegment AS subreddit, count(*) AS n, CAST(sum(round(c_acctbal * 100)) AS BIGINT) AS cents
+        FROM customer WHERE contains(c_mktsegment, 'E') GROUP BY 1, 2""",
+})

@@ -8,29 +8,24 @@ both sides so that summation order does not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions import colour, logs, text
 from kestrel.functions.numeric import fixed
 from kestrel.operators import aggregate, audit, etl, graph, joins, peaks, scan, stats
-from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.sources import tables
 from kestrel.sources.tables import load
 
-HOUR = "yyyy-MM-dd HH"
-DAY = "yyyy-MM-dd"
-
-
-def _hour(ts: str = "ts"):
-    return F.date_format(ts, HOUR)
+_hour, _day = tables.hour_text, tables.day_text
 
 
 # --------------------------------------------------------------- text (A1, A2)
 
 def _documents(spark, d):
-    """Document text, spread over the cores when the file gives too few splits."""
-    return spread_for_cpu(load(spark, d, "documents").select("text"))
+    return load(spark, d, "documents").select("text")
 
 
 def wordcount_ws(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +69,7 @@ def avg_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 def avg_by_key_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Same average from daily (count, sum) pre-aggregates merged (AGG2 RE5)."""
-    ev = load(spark, d, "events").withColumn("day", F.date_format("ts", DAY))
+    ev = load(spark, d, "events").withColumn("day", _day())
     parts = aggregate.partial_sums(ev, "day", "event_type", "value")
     merged = aggregate.merge_partial_sums(parts, "event_type", "avg_value")
     return merged.select("event_type", "n", fixed("total", 4).alias("total"),
@@ -126,7 +121,7 @@ def etl_positive(spark: SparkSession, d: str) -> DataFrame:
 
 
 def etl_nonpositive(spark: SparkSession, d: str) -> DataFrame:
-    """The complementary side of the split: balance <= 0 (FLT3 FLT5)."""
+    """The complementary side of the split: balance <= 0 or missing (FLT3 FLT5)."""
     return etl.segment_rows(load(spark, d, "customer"), "c_mktsegment", "E",
                             "c_acctbal", False, _SEGMENT_FIELDS)
 
@@ -172,12 +167,10 @@ def relative_score_broadcast(spark: SparkSession, d: str) -> DataFrame:
 
 def observation_etl(spark: SparkSession, d: str) -> DataFrame:
     """Clean purchase readings from stations 'U1*', scaled by 1/10
-    (FLT1 FLT2 FLT4 PRJ1 PRJ2).  Station = 'U' || user_id; quality flag =
-    a NULL-able JSON field."""
+    (FLT1 FLT2 FLT4 PRJ1 PRJ2).  Station = 'U' || user_id; flagged readings go."""
     ev = load(spark, d, "events").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("station"),
-        F.date_format("ts", DAY).alias("date"), "event_type", "value",
-        F.get_json_object("props", "$.qflag").alias("qflag"))
+        _day().alias("date"), "event_type", "value", tables.reading_flag().alias("qflag"))
     return etl.observations(ev, "qflag", "station", "U1", "event_type", "purchase",
                             "value", "date", 10.0, "tmax") \
         .select("station", "date", fixed("tmax", 4).alias("tmax"))
@@ -189,7 +182,7 @@ def _daily_range(spark, d):
     """Per (day, user): largest purchase minus smallest click, one scan and
     one shuffle (conditional aggregates instead of a self-join)."""
     ev = load(spark, d, "events")
-    daily = ev.groupBy(F.date_format("ts", DAY).alias("day"), "user_id").agg(
+    daily = ev.groupBy(_day().alias("day"), "user_id").agg(
         F.max(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("hi"),
         F.min(F.when(F.col("event_type") == "click", F.col("value"))).alias("lo"))
     return daily.filter(F.col("hi").isNotNull() & F.col("lo").isNotNull()) \
@@ -209,10 +202,10 @@ def daily_range_peak_sql(spark: SparkSession, d: str) -> DataFrame:
     v = "kestrel_events"
     load(spark, d, "events").createOrReplaceTempView(v)
     spark.sql(f"""CREATE OR REPLACE TEMP VIEW kestrel_hi AS
-        SELECT date_format(ts, 'yyyy-MM-dd') AS day, user_id, max(value) AS hi
+        SELECT substring(CAST(ts AS STRING), 1, 10) AS day, user_id, max(value) AS hi
         FROM {v} WHERE event_type = 'purchase' GROUP BY 1, 2""")
     spark.sql(f"""CREATE OR REPLACE TEMP VIEW kestrel_lo AS
-        SELECT date_format(ts, 'yyyy-MM-dd') AS day, user_id, min(value) AS lo
+        SELECT substring(CAST(ts AS STRING), 1, 10) AS day, user_id, min(value) AS lo
         FROM {v} WHERE event_type = 'click' GROUP BY 1, 2""")
     spark.sql("""CREATE OR REPLACE TEMP VIEW kestrel_range AS
         SELECT h.day, h.user_id, h.hi - l.lo AS value_range
@@ -227,17 +220,14 @@ def daily_range_peak_sql(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rows_by_source_file(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per source file with the file name's date-hour stamp, NULL when
-    the name has none (SRC6 STR5)."""
+    """Rows of two tables per table and their number of source files, from the
+    files' full paths; a table may be a file or a folder (SRC6)."""
     from kestrel.sources.files import with_source_file
-    parts = []
-    for name in ("events", "orders"):
-        df = with_source_file(load(spark, d, name).select(F.lit(1).alias("one")))
-        parts.append(df.select("file_name"))
-    files = parts[0].unionByName(parts[1])
-    stamp = F.nullif(F.regexp_extract("file_name", r"(\d{8}-\d{2})", 1), F.lit(""))
-    return files.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select("file_name", stamp.alias("stamp"), "n_rows")
+    parts = [with_source_file(load(spark, d, name).select(F.lit(f"{name}.parquet").alias("table")))
+             for name in ("events", "orders")]
+    return parts[0].unionByName(parts[1]).groupBy("table").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min(F.contains("file_path", "table").cast("int")).alias("path_names_table"))
 
 
 # ------------------------------------------------------------ logs (A7, A8)
@@ -249,8 +239,12 @@ def _parsed_logs(spark, d):
 def log_parse(spark: SparkSession, d: str) -> DataFrame:
     """Parse access-log lines; malformed ones dropped (STR6 DAT3 FLT8)."""
     p = _parsed_logs(spark, d)
-    return p.select("host", F.date_format("datetime", logs.OUT_TIME_FORMAT).alias("datetime"),
-                    "path", "bytes")
+    return p.select("host", F.col("datetime").cast("string").alias("datetime"), "path", "bytes")
+
+
+def log_dropped(spark: SparkSession, d: str) -> DataFrame:
+    """Access-log lines read, and those the parser rejects (FLT8)."""
+    return logs.dropped_lines(tables.access_log_lines(load(spark, d, "events")))
 
 
 def host_correlation(spark: SparkSession, d: str) -> DataFrame:
@@ -285,10 +279,9 @@ def stream_linear_fit(spark: SparkSession, d: str) -> DataFrame:
     stream of ``"x y"`` messages, complete mode into a memory table, run
     until the available input is done (SRC10 STM1-STM5)."""
     from kestrel.streaming import regression
-    schema = load(spark, d, "events").schema
-    # A file stream watches a folder; only the events file of it is read.
-    stream = regression.read_stream(spark, d, fmt="parquet", schema=schema,
-                                    pathGlobFilter="events.parquet")
+    # The table's own path: a file, or a folder of part files.
+    stream = regression.read_stream(spark, f"{d}/events.parquet", fmt="parquet",
+                                    schema=load(spark, d, "events").schema)
     points = regression.parse_points(tables.point_messages(stream))
     table = regression.run_to_table(spark, regression.running_fit(points))
     return table.select("n", fixed("slope", 9).alias("slope"),
@@ -307,7 +300,7 @@ def yesterday_join(spark: SparkSession, d: str) -> DataFrame:
     """Daily max per user with the previous day's max; gaps do not match
     (JN6 DAT2)."""
     j = joins.previous_day_join(_daily_max(spark, d), "user_id", "day", "tmax")
-    return j.select("user_id", F.date_format("day", DAY).alias("day"), "tmax",
+    return j.select("user_id", F.col("day").cast("string").alias("day"), "tmax",
                     "yesterday_tmax")
 
 
@@ -336,26 +329,54 @@ def union_bag(spark: SparkSession, d: str) -> DataFrame:
 # ----------------------------------------------------------- graph (A7)
 
 BFS_SOURCE = 1
-BFS_ROUNDS = 6
 
 
-def _bfs(spark, d):
-    edges = tables.order_edges(load(spark, d, "orders"))
-    return graph.bfs(spark, edges, BFS_SOURCE, max_rounds=BFS_ROUNDS)
+def _edges(spark, d):
+    return tables.order_edges(load(spark, d, "orders"), load(spark, d, "customer"))
 
 
 def bfs_distance(spark: SparkSession, d: str) -> DataFrame:
-    """Hop distance and smallest parent from node 1, at most 6 rounds
-    (GRF2 GRF3 JN7 SET1 AGG11)."""
-    return graph.rounds_table(_bfs(spark, d))
+    """Hop distance and smallest parent from node 1, until no new node is found
+    (GRF3 JN7 SET1 AGG11)."""
+    return graph.bfs(spark, _edges(spark, d), BFS_SOURCE)
+
+
+def bfs_six_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes per round of a search of at most 6 rounds, written as one table
+    partitioned by round and read back (GRF2 GRF4)."""
+    from kestrel.session import scratch_path
+    path = scratch_path(spark, "rounds")
+    graph.write_rounds(graph.bfs(spark, _edges(spark, d), BFS_SOURCE, max_rounds=6), path)
+    back = spark.read.schema(graph.TREE_SCHEMA).csv(path)
+    return back.groupBy("distance").agg(F.count(F.lit(1)).alias("n_nodes"), F.min("node").alias("first_node"))
 
 
 def bfs_path(spark: SparkSession, d: str) -> DataFrame:
     """Shortest path (via smallest parents) to every reached node (GRF5)."""
-    p = _bfs(spark, d)
+    p = graph.with_paths(graph.bfs_rounds(spark, _edges(spark, d), BFS_SOURCE))
     return p.select("node", "distance", F.array_join("path", ",").alias("path"))
 
 
+def bfs_one_path(spark: SparkSession, d: str) -> DataFrame:
+    """The path from node 1 to the largest node that the search reaches, found by
+    walking back from it (FLT9 GRF5)."""
+    rounds = graph.bfs_rounds(spark, _edges(spark, d), BFS_SOURCE)
+    far = reduce(DataFrame.union, rounds).agg(F.max("node")).first()[0]
+    return graph.path_to(rounds, far)
+
+
+def adjacency_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges written as ``src: d1 d2 ...`` lines, read as text and parsed back
+    (GRF1 SRC1)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path = scratch_path(spark, "adjacency")
+    lines = _edges(spark, d).groupBy("src").agg(
+        F.array_join(F.array_sort(F.collect_set(F.col("dest"))).cast("array<string>"), " ").alias("out"))
+    sinks.write_lines(lines.select(F.concat("src", F.lit(": "), "out").alias("line")), path)
+    return graph.parse_adjacency(files.read_lines(spark, path))
+
+
 # ------------------------------------------------------ colours (A10)
 
 def rgb_to_lab(spark: SparkSession, d: str) -> DataFrame:
@@ -422,7 +443,7 @@ def partition_pruned(spark: SparkSession, d: str) -> DataFrame:
     back: the scan lists only that partition (partition layout and pruning)."""
     from kestrel.sources import catalog
     path = catalog.write_partitioned(
-        load(spark, d, "orders").withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM")),
+        load(spark, d, "orders").withColumn("o_month", F.substring(F.col("o_orderdate").cast("string"), 1, 7)),
         "orders_by_month", ["o_month"])
     month = spark.read.parquet(path).filter(F.col("o_month") == PRUNE_MONTH)
     return month.groupBy("o_month").agg(
@@ -482,6 +503,7 @@ QUERIES = {
     "daily_range_peak_sql": daily_range_peak_sql,
     "rows_by_source_file": rows_by_source_file,
     "log_parse": log_parse,
+    "log_dropped": log_dropped,
     "host_correlation": host_correlation,
     "moments_correlation": moments_correlation,
     "linear_fit": linear_fit,
@@ -491,7 +513,10 @@ QUERIES = {
     "top1_row_number": top1_row_number,
     "union_bag": union_bag,
     "bfs_distance": bfs_distance,
+    "bfs_six_rounds": bfs_six_rounds,
     "bfs_path": bfs_path,
+    "bfs_one_path": bfs_one_path,
+    "adjacency_edges": adjacency_edges,
     "rgb_to_lab": rgb_to_lab,
     "rgb_to_hsv": rgb_to_hsv,
     "first_crossing_by_user": first_crossing_by_user,
@@ -523,7 +548,30 @@ def ml_colour_scores(spark: SparkSession, d: str) -> DataFrame:
 def ml_label_scores(spark: SparkSession, d: str) -> DataFrame:
     """MLP on the embedding vectors predicting their label; split sizes and f1."""
     from kestrel.ml import pipelines
-    return pipelines.vector_label_scores(load(spark, d, "embeddings"), "embedding", "label")
+    return pipelines.vector_label_scores(load(spark, d, "embeddings"), "vec_id", "embedding", "label")
+
+
+def split_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per label on either side of the embedding split (ML1)."""
+    from kestrel.ml import pipelines
+    train, valid = pipelines.split(load(spark, d, "embeddings").select("vec_id", "label"), ["vec_id"])
+    both = etl.tag(train, "side", "train").unionByName(etl.tag(valid, "side", "valid"))
+    return aggregate.count_by_key(both, ["side", "label"], "n")
+
+
+def tmax_features(spark: SparkSession, d: str) -> DataFrame:
+    """Day of year and yesterday's value of each station's days: the forest's
+    features (JN6 DAT1 DAT2 UDF4)."""
+    from kestrel.ml import pipelines
+    f = pipelines.tmax_features(_daily_series(spark, d))
+    return f.select("station", F.col("date").cast("string").alias("date"), "day_of_year", "tmax", "yesterday_tmax")
+
+
+def next_day_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The row that each station's next day is predicted from (RE3)."""
+    from kestrel.ml import pipelines
+    f = pipelines.tomorrow_inputs(_daily_series(spark, d))
+    return f.select("station", F.col("date").cast("string").alias("date"), "day_of_year", "yesterday_tmax")
 
 
 def _daily_series(spark, d):
@@ -538,15 +586,24 @@ def _daily_series(spark, d):
              F.first(((uid * 13) % 1000).cast("float")).alias("elevation"))
 
 
+# Saved forests of this driver, by application and tables: fitted once.
+_FORESTS: dict[tuple[str, str], str] = {}
+
+
 def _fit_tmax(spark, d):
+    from pyspark.ml import PipelineModel
+
     from kestrel.ml import pipelines
     from kestrel.session import scratch_path
-    daily = _daily_series(spark, d)
-    data = pipelines.tmax_features(daily)
-    train, valid = pipelines.split(data)
-    model = pipelines.fit_cached(pipelines.forest_pipeline(), train)
-    model = pipelines.save_and_load(model, scratch_path(spark, "tmax_model"))
-    return daily, train, valid, model
+    daily, keys = _daily_series(spark, d), ["station", "date"]
+    data = pipelines.labelled(pipelines.tmax_features(daily), [*pipelines.FEATURES, "tmax"])
+    train, valid = pipelines.split(data, keys)
+    at = (spark.sparkContext.applicationId, d)
+    if at in _FORESTS:
+        return daily, train, valid, PipelineModel.load(_FORESTS[at])
+    model = pipelines.fit_cached(pipelines.forest_pipeline(), pipelines.bounded(train, keys))
+    _FORESTS[at] = scratch_path(spark, "tmax_model")
+    return daily, train, valid, pipelines.save_and_load(model, _FORESTS[at])
 
 
 def ml_next_day(spark: SparkSession, d: str) -> DataFrame:
@@ -556,7 +613,7 @@ def ml_next_day(spark: SparkSession, d: str) -> DataFrame:
     daily, _, _, model = _fit_tmax(spark, d)
     from kestrel.ml import pipelines
     pred = model.transform(pipelines.tomorrow_inputs(daily))
-    return pred.select("station", F.date_format("date", DAY).alias("date"),
+    return pred.select("station", F.col("date").cast("string").alias("date"),
                        "yesterday_tmax", F.col("prediction").alias("predicted_tmax"))
 
 
@@ -583,6 +640,9 @@ def ml_grid(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({
+    "split_sizes": split_sizes,
+    "tmax_features": tmax_features,
+    "next_day_inputs": next_day_inputs,
     "ml_colour_scores": ml_colour_scores,
     "ml_label_scores": ml_label_scores,
     "ml_next_day": ml_next_day,
@@ -629,25 +689,23 @@ def text_source_wordcount(spark: SparkSession, d: str) -> DataFrame:
     from kestrel.sources import files, sinks
     path = scratch_path(spark, "documents_txt")
     sinks.write_lines(load(spark, d, "documents").select("text"), path)
-    words = text.explode_words(spread_for_cpu(files.read_lines(spark, path)), "value")
+    words = text.explode_words(files.read_lines(spark, path), "value")
     return aggregate.count_by_key(words, "word", "n")
 
 
 def _ingest_logs(spark, d):
-    """RE1: access-log text as gzip files -> parsed rows with repeatable ids
-    -> appended to a table partitioned by day; returns the table path."""
+    """RE1: access-log text as gzip files -> parsed rows with unique, repeatable
+    ids -> the days' partitions of a table; returns the table path."""
     from kestrel.session import scratch_path
     from kestrel.sources import files, sinks
     raw = scratch_path(spark, "logs_gz")
     sinks.write_lines(tables.access_log_lines(load(spark, d, "events")), raw,
                       compression="gzip")
-    parsed = logs.parse_log_lines(spread_for_cpu(files.read_lines(spark, raw)))
-    rows = logs.with_row_id(parsed.select(
-        "host", F.date_format("datetime", logs.OUT_TIME_FORMAT).alias("datetime"),
-        "path", "bytes"), ["host", "datetime", "path", "bytes"])
+    parsed = logs.parse_log_lines(files.read_lines(spark, raw))
+    rows = logs.with_row_id(parsed.select("host", F.col("datetime").cast("string").alias("datetime"),
+                                          "path", "bytes"))
     table = scratch_path(spark, "nasalogs")
-    sinks.append_table(rows.withColumn("day", F.substring("datetime", 1, 10)), table,
-                       partition_by=["day"])
+    sinks.replace_partitions(rows.withColumn("day", F.substring("datetime", 1, 10)), table, ["day"])
     return table
 
 
@@ -676,3 +734,152 @@ QUERIES.update({
     "log_ingest": log_ingest,
     "host_correlation_from_table": host_correlation_from_table,
 })
+
+
+# ------------------------------------------------------- catalog, page views
+
+def _schema(spark, name: str) -> str:
+    """A fresh namespace of this driver's."""
+    import uuid
+
+    from kestrel.sources import catalog
+    name = f"{name}_{uuid.uuid4().hex[:8]}"
+    catalog.create_schema(spark, name)
+    return name
+
+
+def _kept(spark, df, name: str):
+    """``df`` written to the scratch folder: its tables may be dropped then."""
+    from kestrel.session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def typed_load(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as JSON lines and orders as CSV, bulk loaded into typed tables
+    with NOT NULL checks; rows that don't fit are diverted.  Purchases per
+    province code, and the rows of either side diverted (CAT3 CAT8 SRC11 SRC12)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import catalog, sinks
+    paths = {n: scratch_path(spark, n) for n in ("customers_json", "orders_csv", "bad_json", "bad_csv")}
+    cust = load(spark, d, "customer")
+    sinks.write_json(cust.select(
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("custid"), F.col("c_name").alias("name"),
+        # every 50th customer has no province, which the table does not allow
+        F.when(F.col("c_custkey") % 50 != 0, F.concat(F.lit("P"), F.col("c_nationkey") % 10)).alias("province")),
+        paths["customers_json"])
+    sinks.write_csv(load(spark, d, "orders").select(
+        F.concat(F.lit("O"), F.col("o_orderkey")), F.concat(F.lit("C"), F.col("o_custkey")),
+        # every 40th date is text that is no date
+        F.when(F.col("o_orderkey") % 40 != 0, F.col("o_orderdate").cast("date").cast("string")).otherwise("soon"),
+        F.col("o_totalprice").cast("decimal(12,2)")), paths["orders_csv"])
+    db = _schema(spark, "typed")
+    catalog.create_table(spark, f"{db}.customers", "custid VARCHAR(12), custname STRING, province CHAR(2)")
+    catalog.create_table(spark, f"{db}.purchases", "purchid VARCHAR(12), custid VARCHAR(12), pdate DATE, amount DECIMAL(12,2)")
+    catalog.load_json_into(spark, paths["customers_json"], f"{db}.customers", {"name": "custname"},
+                           ["custid", "province"], paths["bad_json"])
+    catalog.load_csv_into(spark, paths["orders_csv"], f"{db}.purchases", ["purchid", "custid", "pdate"], paths["bad_csv"])
+    result = spark.sql(f"""
+        SELECT c.province, count(*) AS n_purchases, CAST(sum(p.amount) AS DECIMAL(38,2)) AS spend
+        FROM {db}.purchases p JOIN {db}.customers c ON p.custid = c.custid GROUP BY c.province""")
+    bad = [spark.read.text(paths[n]).agg(F.lit(n).alias("province"), F.count("*").alias("n_purchases"),
+                                         F.lit(None).cast("decimal(38,2)").alias("spend")) for n in ("bad_json", "bad_csv")]
+    kept = _kept(spark, result.unionByName(bad[0]).unionByName(bad[1]), "typed")
+    catalog.drop_schema(spark, db)
+    return kept
+
+
+def external_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as CSV files in a folder per month, an external partitioned table
+    over them, one month's partition added by name and the rest discovered;
+    rows and spend per month after either step.  The files outlive the
+    dropped schema (CAT4 CAT5 CAT7 CAT8)."""
+    from kestrel.sources import catalog
+    rows = load(spark, d, "orders").select(
+        F.col("o_orderkey").alias("purchid"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("month"))
+    path = catalog.write_partitioned(rows, "external", ["month"], "csv")
+    db = _schema(spark, "external")
+    catalog.create_table(spark, f"{db}.purchases", "purchid BIGINT, amount DECIMAL(12,2), month STRING", "csv",
+                         path, ["month"])
+    per_month = f"""SELECT month, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS spend
+                    FROM {db}.purchases GROUP BY month"""
+    catalog.add_partitions(spark, f"{db}.purchases", "month", [PRUNE_MONTH], path)
+    one = _kept(spark, etl.tag(spark.sql(per_month), "step", "added"), "one_month")
+    catalog.discover_partitions(spark, f"{db}.purchases")
+    rest = _kept(spark, etl.tag(spark.sql(per_month), "step", "discovered"), "all_months")
+    catalog.drop_schema(spark, db)
+    return one.unionByName(rest)
+
+
+def struct_vs_variant(spark: SparkSession, d: str) -> DataFrame:
+    """Events' properties as JSON lines, read through an external table with a
+    declared struct, and loaded as VARIANT into a typed table: a declared
+    field, the same by path, and a path that is not there (CAT6 SRC13 JSN3)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import catalog, sinks
+    path = scratch_path(spark, "events_json")
+    sinks.write_json(load(spark, d, "events").select(
+        "event_id", F.struct(F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
+                             F.col("event_type").alias("kind")).alias("tags")), path)
+    db = _schema(spark, "semi")
+    catalog.create_table(spark, f"{db}.declared", "event_id BIGINT, tags STRUCT<k: BIGINT, kind: STRING>", "json", path)
+    catalog.create_table(spark, f"{db}.loaded", "event_id BIGINT, tags VARIANT")
+    catalog.load_json_into(spark, path, f"{db}.loaded", tolerant=True)
+    kept = _kept(spark, spark.sql(f"""
+        SELECT a.event_id, a.tags.k AS declared_k, try_variant_get(b.tags, '$.k', 'bigint') AS variant_k,
+               try_variant_get(b.tags, '$.kind', 'string') AS kind, try_variant_get(b.tags, '$.none', 'string') AS none
+        FROM {db}.declared a JOIN {db}.loaded b ON a.event_id = b.event_id"""), "semi")
+    catalog.drop_schema(spark, db)
+    return kept
+
+
+def page_peak(spark: SparkSession, d: str) -> DataFrame:
+    """Space-delimited page views in files whose path names the hour: the most
+    viewed English pages per hour, ties kept, without the main page and
+    special pages (SRC4 SRC6 STR5 FLT1 FLT2 FLT6 JN4)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path = scratch_path(spark, "pagecounts")
+    views = tables.page_view_lines(load(spark, d, "events"))
+    line = F.concat_ws(" ", "locale", "title", F.col("views").cast("string"), F.col("bytes").cast("string"))
+    views.select("hour", line.alias("value")).hint("rebalance", "hour").write.partitionBy("hour").text(path)
+    raw = files.read_csv(spark, f"{path}/*", "locale string, title string, views bigint, bytes bigint", sep=" ", quote="")
+    stamp = F.nullif(F.regexp_extract("file_path", r"(\d{8}-\d{2})/[^/]*$", 1), F.lit(""))
+    pages = etl.page_views(files.with_source_file(raw).withColumn("stamp", stamp))
+    return peaks.rows_at_group_max(pages, "stamp", "views").select("stamp", "title", "views")
+
+
+def page_peak_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Page views as white-space separated lines with the hour in the line: the
+    most viewed English page per hour, of equal views the greatest title,
+    written as tab-separated lines and read back (SRC1 AGG5 PRJ8 SNK1)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path, out = scratch_path(spark, "pageviews"), scratch_path(spark, "popular")
+    sinks.write_lines(tables.page_view_lines(load(spark, d, "events")), path, sep=" ")
+    pages = etl.page_views(etl.hourly_page_lines(files.read_lines(spark, path)))
+    sinks.write_lines(aggregate.argmax_by_key(pages, "hour", "views", "title"), out)
+    return files.read_csv(spark, out, "hour string, views bigint, title string", sep="\t", quote="")
+
+
+def etl_split(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as JSON lines, read back and written as two complementary
+    outputs in one pass; rows, and sum of balances in cents, per side (SRC5
+    FLT3 SNK4)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import files, sinks
+    path, out = scratch_path(spark, "comments"), scratch_path(spark, "sides")
+    sinks.write_json(load(spark, d, "customer").select(
+        F.col("c_mktsegment").alias("subreddit"), F.col("c_acctbal").alias("score"), F.col("c_name").alias("author")), path)
+    rows = files.read_json(spark, path, "subreddit string, score double, author string") \
+        .filter(F.col("subreddit").contains("E"))
+    sinks.split_write(rows, F.col("score") > 0, out)
+    back = spark.read.schema("subreddit string, score double, author string, side string").json(out)
+    return back.groupBy("side", "subreddit").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("score") * 100).cast("bigint")).alias("cents"))
+
+
+QUERIES.update({f.__name__: f for f in (
+    typed_load, external_partitions, struct_vs_variant, page_peak, page_peak_rows, etl_split)})

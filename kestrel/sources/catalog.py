@@ -8,17 +8,19 @@ are not enforced by file tables -- see :mod:`kestrel.operators.audit`.
 
 from __future__ import annotations
 
-import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kestrel.session import scratch_path
+from kestrel.session import checkpoint_root, scratch_path
 
 # The star schema of the purchases data set, as typed DDL.  Column lists and
 # types are fixed values of the original schema.
 STAR_SCHEMA = {
     "amenities": "amenid CHAR(11), lat FLOAT, lon FLOAT, ts TIMESTAMP, "
-                 "amenity VARCHAR(1000), amname VARCHAR(1000), tags STRING",
+                 "amenity VARCHAR(1000), amname VARCHAR(1000), tags VARIANT",
     "customers": "custid CHAR(11), custname STRING, street STRING, city STRING, "
                  "province CHAR(2), postalcode CHAR(6)",
     "paymentmethods": "pmid CHAR(9), custid CHAR(11), number VARCHAR(20), "
@@ -44,12 +46,6 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def sql_view(spark: SparkSession, name: str, query: str) -> DataFrame:
-    """A replaceable view over a query (CAT2)."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {query}")
-    return spark.table(name)
-
-
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Namespace for external tables (CAT7)."""
     loc = f" LOCATION '{location}'" if location else ""
@@ -94,33 +90,66 @@ def drop_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
 
 
-def load_csv_into(spark: SparkSession, path: str, table: str) -> None:
+class BadRows(ValueError):
+    """A bulk load met rows that don't fit the table."""
+
+
+def _plain(schema: T.StructType, renames: dict | None = None) -> T.StructType:
+    """A table's schema as a reader takes it: names of the file, all nullable."""
+    back = {v: k for k, v in (renames or {}).items()}
+    kinds = [T.StringType() if isinstance(f.dataType, (T.CharType, T.VarcharType)) else f.dataType
+             for f in schema.fields]
+    return T.StructType([T.StructField(back.get(f.name, f.name), k, True) for f, k in zip(schema.fields, kinds)])
+
+
+_BAD = "__bad_row"
+
+
+def _insert(rows: DataFrame, table: str, not_null: list[str], bad_path: str | None) -> None:
+    """Insert the good rows.  A row is bad if the reader could not parse it whole
+    or a ``not_null`` column is missing.  Bad rows fail the load before
+    anything is inserted, or go to ``bad_path`` as JSON lines."""
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null], F.lit(False))
+    bad = F.col(_BAD).isNotNull() | empty
+    # a reader that prunes its columns would not parse the others
+    rows = rows.select("*", bad.alias("__is_bad")).checkpoint(eager=True)
+    wrong = rows.filter("__is_bad").drop("__is_bad")
+    if bad_path is None:
+        first = wrong.limit(1).collect()
+        if first:
+            raise BadRows(f"{table}: {first[0].asDict()}")
+    else:
+        wrong.write.mode("overwrite").json(bad_path)
+    rows.filter("NOT __is_bad").select(*rows.sparkSession.table(table).columns).write.insertInto(table)
+
+
+def load_csv_into(spark: SparkSession, path: str, table: str, not_null: list[str] | None = None,
+                  bad_path: str | None = None) -> None:
     """Bulk load CSV files into an existing typed table (SRC12).  The file is
-    read with the table's own schema; char/varchar lengths are checked on
-    insert (an over-long varchar fails the load, as a typed COPY would)."""
-    schema = spark.table(table).schema
-    spark.read.schema(schema).csv(path).write.insertInto(table)
-
-
-def load_json_into(spark: SparkSession, path: str, table: str,
-                   renames: dict | None = None) -> None:
-    """Bulk load JSON lines, keys matched to columns by name (SRC11, SRC13).
-    ``renames`` maps a JSON key to a column (``{'timestamp': 'ts'}``);
-    malformed lines become NULL rows instead of failing the load."""
-    target = spark.table(table)
-    from pyspark.sql import types as T
-    fields = []
-    renames = renames or {}
-    back = {v: k for k, v in renames.items()}
-    for f in target.schema.fields:
-        t = f.dataType
-        if isinstance(t, (T.CharType, T.VarcharType)):
-            t = T.StringType()
-        fields.append(T.StructField(back.get(f.name, f.name), t, True))
-    df = spark.read.schema(T.StructType(fields)).option("mode", "PERMISSIVE").json(path)
-    for k, v in renames.items():
-        df = df.withColumnRenamed(k, v)
-    df.select(*target.columns).write.insertInto(table)
+    read with the table's own schema; a field that does not parse, or a missing
+    ``not_null`` one, fails the load (or sends its row to ``bad_path``); char and
+    varchar lengths are checked on insert (an over-long varchar fails the load,
+    as a typed COPY would)."""
+    checkpoint_root(spark)
+    schema = _plain(spark.table(table).schema).add(_BAD, "string")
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _BAD).csv(path)
+    _insert(rows, table, not_null or [], bad_path)
+
+
+def load_json_into(spark: SparkSession, path: str, table: str, renames: dict | None = None,
+                   not_null: list[str] | None = None, bad_path: str | None = None,
+                   tolerant: bool = False) -> None:
+    """Bulk load JSON lines, keys matched to columns by name (SRC11).
+    ``renames`` maps a JSON key to a column (``{'timestamp': 'ts'}``).  Lines
+    that do not parse fail the load or go to ``bad_path``; ``tolerant`` (SRC13)
+    takes them as rows whose unreadable fields are NULL."""
+    checkpoint_root(spark)
+    schema = _plain(spark.table(table).schema, renames).add(_BAD, "string")
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _BAD).json(path) \
+        .withColumnsRenamed(renames or {})
+    if tolerant:
+        rows = rows.withColumn(_BAD, F.lit(None).cast("string"))
+    _insert(rows, table, not_null or [], bad_path)
 
 
 def write_partitioned(df: DataFrame, name: str, partition_by: list[str],
@@ -144,7 +173,3 @@ def star_schema_ddl(spark: SparkSession, database: str | None = None) -> list[st
         create_table(spark, full, cols)
         names.append(full)
     return names
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(path)

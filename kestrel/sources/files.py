@@ -45,9 +45,10 @@ def read_json(spark: SparkSession, path, schema: T.StructType | str,
     return reader.json(path)
 
 
-def with_source_file(df: DataFrame, column: str = "file_name") -> DataFrame:
-    """Attach the name of the file each row came from (SRC6)."""
-    return df.withColumn(column, F.col("_metadata.file_name"))
+def with_source_file(df: DataFrame, column: str = "file_path") -> DataFrame:
+    """Attach the full path of the file each row came from (SRC6): files of
+    the same name in different folders stay apart."""
+    return df.withColumn(column, F.col("_metadata.file_path"))
 
 
 def rows(spark: SparkSession, data, schema) -> DataFrame:
@@ -79,7 +80,3 @@ def read_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet",
     if fmt == "table":
         return spark.table(path_or_name)
     return spark.read.format(fmt).options(**options).load(path_or_name)
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

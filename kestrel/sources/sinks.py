@@ -64,9 +64,10 @@ def append_table(df: DataFrame, path_or_table: str, fmt: str = "parquet",
     """Append to a keyed table (SNK5).
 
     The original forced 50 writers; here AQE's rebalance sizes the output
-    files from the measured data instead of a fixed count.
+    files from the measured data instead of a fixed count.  It deals rows by
+    the partition columns, so that a task writes few folders.
     """
-    writer = df.hint("rebalance").write.mode("append").format(fmt)
+    writer = df.hint("rebalance", *(partition_by or [])).write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if as_table:
@@ -75,6 +76,15 @@ def append_table(df: DataFrame, path_or_table: str, fmt: str = "parquet",
         writer.save(path_or_table)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
+                       fmt: str = "parquet") -> None:
+    """Write whole partitions of a keyed table (SNK5): those that ``df`` has rows
+    for are replaced, the others stay.  Loading the same days again gives
+    the same table."""
+    df.hint("rebalance", *partition_by).write.mode("overwrite").format(fmt) \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows, for a look at a result (LIM1).  The limit is the
     feature here; Spark stops reading once ``n`` rows are found."""

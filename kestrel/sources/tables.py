@@ -22,6 +22,26 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: English month names of log times: fixed values.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def day_text(ts: str = "ts"):
+    """``yyyy-MM-dd`` of a timestamp without zone (no session zone enters)."""
+    return F.substring(F.col(ts).cast("string"), 1, 10)
+
+
+def hour_text(ts: str = "ts"):
+    """``yyyy-MM-dd HH`` of a timestamp without zone."""
+    return F.substring(F.col(ts).cast("string"), 1, 13)
+
+
+def reading_flag(event_id: str = "event_id"):
+    """Quality flag of a stand-in reading: 'X' on every 29th id (about 3 per
+    cent), whatever the reading's value."""
+    return F.when(F.col(event_id) % 29 == 0, F.lit("X"))
+
+
 def access_log_lines(events: DataFrame) -> DataFrame:
     """Access-log text lines shaped from ``events`` (one per event).
 
@@ -33,17 +53,22 @@ def access_log_lines(events: DataFrame) -> DataFrame:
         .otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string"))
     line = F.format_string('%s - - [%s -0800] "GET %s HTTP/1.0" 200 %s',
                            F.concat(F.lit("host"), F.col("user_id").cast("string")),
-                           F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"),
+                           F.concat(F.substring(F.col("ts").cast("string"), 9, 2), F.lit("/"),
+                                    F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month("ts")),
+                                    F.lit("/"), F.substring(F.col("ts").cast("string"), 1, 4), F.lit(":"),
+                                    F.substring(F.col("ts").cast("string"), 12, 8)),
                            F.concat(F.lit("/"), F.col("event_type"), F.lit("/"),
                                     F.col("event_id").cast("string")),
                            size)
     return events.select(line.alias("value"))
 
 
-def order_edges(orders: DataFrame) -> DataFrame:
-    """Directed edges customer -> (order key mod 1500), the graph stand-in."""
+def order_edges(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Directed edges customer -> (order key mod the number of customers), the
+    graph stand-in; the number of nodes follows the tables."""
+    nodes = max(customer.count(), 1)
     return orders.select(F.col("o_custkey").alias("src"),
-                         (F.col("o_orderkey") % 1500).alias("dest"))
+                         (F.col("o_orderkey") % nodes).alias("dest"))
 
 
 def part_colours(part: DataFrame) -> DataFrame:
@@ -63,17 +88,31 @@ def point_messages(events: DataFrame) -> DataFrame:
 def weather_observations(events: DataFrame) -> DataFrame:
     """Weather-station readings shaped from events: station 'U' || user_id,
     date yyyyMMdd, purchase -> TMAX and click -> TMIN (others keep their type
-    in upper case), value in tenths, quality flag 'X' on readings above 45
-    (suspect highs)."""
+    in upper case), value in tenths, quality flag of :func:`reading_flag`."""
     obs = F.when(F.col("event_type") == "purchase", F.lit("TMAX")) \
         .when(F.col("event_type") == "click", F.lit("TMIN")) \
         .otherwise(F.upper("event_type"))
     return events.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("station"),
-        F.date_format("ts", "yyyyMMdd").alias("date"),
+        F.replace(day_text(), F.lit("-"), F.lit("")).alias("date"),
         obs.alias("observation"),
         F.round(F.col("value") * 10).cast("int").alias("value"),
         F.lit(None).cast("string").alias("mflag"),
-        F.when(F.col("value") > 45, F.lit("X")).alias("qflag"),
+        reading_flag().alias("qflag"),
         F.lit("S").alias("sflag"),
-        F.date_format("ts", "HHmm").alias("obstime"))
+        F.replace(F.substring(F.col("ts").cast("string"), 12, 5), F.lit(":"), F.lit("")).alias("obstime"))
+
+
+def page_view_lines(events: DataFrame) -> DataFrame:
+    """Page-view rows shaped from events: the hour as ``yyyyMMdd-HH``, a locale,
+    a title (some are the main page or special pages, some start with a quote),
+    views and bytes."""
+    uid = F.col("user_id")
+    title = F.when(uid % 11 == 0, F.lit("Main_Page")).when(uid % 7 == 0, F.concat(F.lit("Special:"), uid)) \
+        .when(uid % 5 == 0, F.concat(F.lit('"Page_'), uid)).otherwise(F.concat(F.lit("Page_"), uid))
+    hour = F.concat(F.replace(day_text(), F.lit("-"), F.lit("")), F.lit("-"),
+                    F.substring(F.col("ts").cast("string"), 12, 2))
+    return events.select(hour.alias("hour"),
+                         F.when(F.col("event_type") == "error", F.lit("fr")).otherwise(F.lit("en")).alias("locale"),
+                         title.alias("title"), (F.col("event_id") % 97).alias("views"),
+                         (F.col("event_id") * 3).alias("bytes"))
