@@ -28,8 +28,7 @@ def segment_rows(df: DataFrame, segment: str, letter: str, score: str,
     """Rows whose ``segment`` contains ``letter``, split by the sign of
     ``score`` (``> 0``, or not), keeping ``fields`` (FLT3, FLT5, PRJ1).  A NULL
     score is not positive, so the two sides are complementary."""
-    above = F.coalesce(F.col(score) > 0, F.lit(False))
-    sign = above if positive else ~above
+    sign = F.col(score) > 0 if positive else (F.col(score) <= 0) | F.col(score).isNull()
     return df.filter(F.col(segment).contains(letter) & sign).select(*fields)
 
 

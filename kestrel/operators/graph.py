@@ -2,8 +2,8 @@
 SET1, AGG11).
 
 Breadth-first search as a short driver loop of DataFrame rounds.  The edges
-are made distinct once and laid out by their source node in the shared
-checkpoint folder, so that no round shuffles them again.  Each round joins
+are made distinct once and written as a table bucketed by their source node in
+the shared scratch folder, so that no round shuffles them again.  Each round joins
 only the *frontier* (nodes first reached in the previous round) with them,
 keeps for every newly reached node the smallest parent, and removes nodes
 already known with an anti-join.  A round's new rows (node, parent, distance)
@@ -18,13 +18,14 @@ the other, by joining each round's nodes with the paths of their parents.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.session import checkpoint_root
+from kestrel.session import checkpoint_root, scratch_path
 from kestrel.sources.files import rows
 
 TREE_SCHEMA = "node bigint, source bigint, distance int"
@@ -46,14 +47,16 @@ def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
         .filter(F.col("src").isNotNull() & F.col("dest").isNotNull())
 
 
-def prepared_edges(edges: DataFrame, src: str = "src", dest: str = "dest") -> DataFrame:
-    """Distinct edges, hashed by source node and checkpointed in that layout."""
+def prepared_edges(edges: DataFrame, src: str = "src", dest: str = "dest") -> str:
+    """Name of a table of the distinct edges, bucketed by source node, in the shared
+    scratch folder.  Drop it when the search is done."""
     spark = edges.sparkSession
-    checkpoint_root(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return edges.select(F.col(src).cast("bigint").alias("src"), F.col(dest).cast("bigint").alias("dest")) \
-        .filter(F.col("src").isNotNull() & F.col("dest").isNotNull()) \
-        .distinct().repartition(n, "src").checkpoint(eager=True)
+    name = f"kestrel_edges_{uuid.uuid4().hex[:12]}"
+    edges.select(F.col(src).cast("bigint").alias("src"), F.col(dest).cast("bigint").alias("dest")) \
+        .filter(F.col("src").isNotNull() & F.col("dest").isNotNull()).distinct().repartition(n, "src") \
+        .write.bucketBy(n, "src").option("path", scratch_path(spark, "edges")).saveAsTable(name)
+    return name
 
 
 def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
@@ -66,10 +69,12 @@ def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: i
     after ``max_rounds`` rounds, or -- when ``target`` is given -- after
     the round that reaches it (GRF2).
     """
-    e = prepared_edges(edges, src, dest)
     rounds = [rows(spark, [(int(source), int(source), 0)], TREE_SCHEMA)]
     if target is not None and int(target) == int(source):
         return rounds
+    checkpoint_root(spark)
+    table = prepared_edges(edges, src, dest)
+    e = spark.table(table)
     while max_rounds is None or len(rounds) <= max_rounds:
         known = reduce(DataFrame.union, [r.select("node") for r in rounds])
         frontier = rounds[-1].select(F.col("node").alias("src"))
@@ -83,6 +88,7 @@ def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: i
         rounds.append(new)
         if stats["hit"]:
             break
+    spark.sql(f"DROP TABLE {table}")
     return rounds
 
 

@@ -39,6 +39,52 @@ def test_row_ids_repeatable(spark):
     assert len({r.id for r in logs.with_row_id(df, random=True).collect()}) == 2
 
 
+def test_equal_rows_get_different_ids(spark, monkeypatch):
+    monkeypatch.setattr(logs, "_COPIES", 7)
+    df = spark.createDataFrame([("a", 1)] * 50 + [(None, 1), (None, 1), ("a", None), ("", 1)], "h string, b int")
+    ids = sorted(r.id for r in logs.with_row_id(df.repartition(4)).collect())
+    assert len(set(ids)) == 54 and ids == sorted(r.id for r in logs.with_row_id(df).collect())
+
+
+def test_times_that_do_not_exist_are_rejected(spark):
+    line = 'h - - [{} -0400] "GET / HTTP/1.0" 200 5'
+    times = ["01/Foo/1995:00:00:01", "31/Feb/1995:00:00:01", "01/anF/1995:00:00:01", "x", "01/Dec/1995:23:59:59",
+             "01/Jan/1995:24:00:00"]
+    df = spark.createDataFrame([(line.format(t),) for t in times] + [(None,)], "value string")
+    assert [str(r.datetime) for r in logs.parse_log_lines(df).collect()] == ["1995-12-01 23:59:59"]
+    assert [tuple(r) for r in logs.dropped_lines(df).collect()] == [(7, 6)]
+
+
+def test_hours_do_not_follow_the_session_zone(spark):
+    """02:30 does not exist in that zone on that day; the data has no zone."""
+    import datetime
+
+    from kestrel.sources import tables
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(datetime.datetime(2024, 3, 10, 2, 30),)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/Vancouver")
+    try:
+        row = df.select(tables.hour_text().alias("h"), tables.day_text().alias("d")).first()
+        assert (row.h, row.d) == ("2024-03-10 02", "2024-03-10")
+        line = spark.createDataFrame([('h - - [10/Mar/2024:02:30:00 -0800] "GET / HTTP/1.0" 200 5',)], "value string")
+        assert logs.parse_log_lines(line).select(F.col("datetime").cast("string")).first()[0] == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_a_stream_that_does_not_end_in_time_raises(spark, tmp):
+    src = os.path.join(tmp, "msgs3")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("1 2\n2 4\n")
+    msgs = regression.read_stream(spark, src, fmt="text")
+    fit = regression.running_fit(regression.parse_points(msgs))
+    with pytest.raises(TimeoutError):
+        regression.run_to_table(spark, fit, timeout=0.05)
+    with pytest.raises(ValueError):
+        regression.run_to_table(spark, fit, available_now=False)
+
+
 def test_stream_regression_from_text_files(spark, tmp):
     src = os.path.join(tmp, "msgs")
     os.makedirs(src)
@@ -87,6 +133,15 @@ def test_star_schema_typed_tables_and_varchar_check(spark, tmp):
         f.write("Vancouver,V5K\n")
     catalog.load_csv_into(spark, p, "star.greater_vancouver_prefixes")
     assert spark.table("star.greater_vancouver_prefixes").count() == 1
+    with open(p, "w") as f:
+        f.write("Burnaby,V5A,extra\n")
+    with pytest.raises(catalog.BadRows):
+        catalog.load_csv_into(spark, p, "star.greater_vancouver_prefixes")
+    with open(p, "w") as f:
+        f.write(",V5A\nSurrey,V3R\n")
+    catalog.load_csv_into(spark, p, "star.greater_vancouver_prefixes", ["city"], os.path.join(tmp, "bad"))
+    assert spark.table("star.greater_vancouver_prefixes").count() == 2
+    assert spark.read.json(os.path.join(tmp, "bad")).count() == 1
     with open(p, "w") as f:
         f.write("A city name far too long for it,V5K\n")
     with pytest.raises(Exception):
@@ -94,9 +149,13 @@ def test_star_schema_typed_tables_and_varchar_check(spark, tmp):
     j = os.path.join(tmp, "amen.json")
     with open(j, "w") as f:
         f.write('{"amenid": "a1", "lat": 1.0, "timestamp": "2021-01-01 00:00:00", '
-                '"amenity": "cafe", "tags": "{\\"brand\\": \\"x\\"}"}\n{broken\n')
-    catalog.load_json_into(spark, j, "star.amenities", renames={"timestamp": "ts"})
-    rows = spark.table("star.amenities").orderBy("amenid").collect()
+                '"amenity": "cafe", "tags": {"brand": "x"}}\n{broken\n')
+    with pytest.raises(catalog.BadRows):
+        catalog.load_json_into(spark, j, "star.amenities", renames={"timestamp": "ts"})
+    catalog.load_json_into(spark, j, "star.amenities", renames={"timestamp": "ts"}, tolerant=True)
+    brand = spark.sql("SELECT try_variant_get(tags, '$.brand', 'string') AS b FROM star.amenities").collect()
+    assert sorted(str(r.b) for r in brand) == ["None", "x"]
+    rows = spark.table("star.amenities").drop("tags").orderBy("amenid").collect()
     assert len(rows) == 2 and rows[1].amenid == "a1".ljust(11) and rows[1].ts is not None  # CHAR pads
     catalog.drop_schema(spark, "star")
 

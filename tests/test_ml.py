@@ -32,8 +32,55 @@ def test_forest_with_sql_stages_in_the_pipeline(spark):
     """The stage form: raw daily rows in, the pipeline derives its features."""
     from kestrel.ml import pipelines
     daily = Q._daily_series(spark, SF_SMALL)
-    train, valid = pipelines.split(daily)
+    train, valid = pipelines.split(daily, ["station", "date"])
     model = pipelines.fit_cached(pipelines.forest_pipeline(sql_stages=True, depth=4), train)
     scored = model.transform(valid)
     assert "prediction" in scored.columns
     assert scored.count() <= pipelines.tmax_features(valid).count()
+
+
+def test_scores_are_those_of_the_stored_predictions(spark, tmp):
+    """r2 and RMSE again, by plain sums over stored predictions; with a floor."""
+    from kestrel.ml import pipelines
+    _, train, valid, model = Q._fit_tmax(spark, SF_MID)
+    model.transform(valid).select("tmax", "prediction").write.parquet(tmp + "/p")
+    p = spark.read.parquet(tmp + "/p")
+    r2, rmse = pipelines.regression_scores(p)
+    row = p.selectExpr("avg(pow(tmax - prediction, 2)) AS mse", "var_pop(tmax) AS v").first()
+    assert abs(rmse - row.mse ** 0.5) < 1e-9 and abs(r2 - (1 - row.mse / row.v)) < 1e-9
+    assert rmse < 1.5 * row.v ** 0.5
+    n, m = train.count(), valid.count()
+    assert 0.6 < n / (n + m) < 0.9
+
+
+def test_f1_is_that_of_the_confusion_counts(spark):
+    from kestrel.ml import pipelines
+    pairs = [(0.0, 0.0)] * 5 + [(0.0, 1.0)] * 2 + [(1.0, 1.0)] * 4 + [(2.0, 1.0)] + [(2.0, 2.0)] * 3
+    df = spark.createDataFrame(pairs, "label_index double, prediction double")
+    total = 0
+    for k in (0.0, 1.0, 2.0):
+        hit = sum(a == b == k for a, b in pairs)
+        n, said = sum(a == k for a, _ in pairs), sum(b == k for _, b in pairs)
+        total += n * 2 * hit / (n + said) / len(pairs)
+    assert abs(pipelines.f1_score(df) - total) < 1e-9
+
+
+def test_rows_without_label_or_feature_do_not_train(spark):
+    from kestrel.ml import pipelines
+    rows = [(i % 200, (i * 7) % 200, (i * 13) % 200, "dark" if i % 200 < 100 else "light") for i in range(300)]
+    df = spark.createDataFrame(rows + [(None, 1, 1, "dark"), (1, 1, 1, None)], "R int, G int, B int, word string")
+    kept = pipelines.labelled(df, ["R", "G", "B", "word"])
+    assert kept.count() == 300
+    model = pipelines.fit_cached(pipelines.mlp_pipeline(["R", "G", "B"], "word", 2, max_iter=60), kept)
+    assert list(model.stages[-1].getLayers()) == [3, 30, 2]
+    assert pipelines.f1_score(model.transform(kept)) > 0.7
+    assert pipelines.bounded(kept, ["R", "G", "B"], 50).count() < 120
+
+
+def test_split_follows_the_keys(spark):
+    from kestrel.ml import pipelines
+    df = spark.range(1000)
+    a, b = pipelines.split(df.repartition(7), ["id"])
+    c, d = pipelines.split(df.coalesce(1), ["id"])
+    assert sorted(a.collect()) == sorted(c.collect()) and sorted(b.collect()) == sorted(d.collect())
+    assert a.count() + b.count() == 1000 and 700 < a.count() < 800

@@ -38,10 +38,27 @@ def test_star_spend_pre_aggregates_orders_before_join(spark):
     assert ex.count("HashAggregate") >= 4
 
 
-def test_spread_only_when_splits_are_few(spark):
+def test_spread_only_when_asked(spark):
     from kestrel.operators.partitioning import spread_for_cpu
     one = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread_for_cpu(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 6)
-    assert spread_for_cpu(many, 4) is many  # enough splits: no shuffle added
+    assert spread_for_cpu(one) is one
+    assert "RoundRobinPartitioning(4)" in _plan(spread_for_cpu(one, 4))
+
+
+def test_argmax_hashes(spark):
+    """Neither aggregate of the arg-max needs sorted rows."""
+    plan = _plan(Q.argmax_by_hour(spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_writers_deal_rows_by_their_folders(spark, tmp):
+    """A task writes few folders: one file per day here, not one per task and day."""
+    import glob
+
+    from kestrel.sources import sinks
+    rows = spark.range(20_000).selectExpr("id", "id % 30 AS day").repartition(8)
+    for write in (lambda p: sinks.append_table(rows, p, partition_by=["day"]),
+                  lambda p: sinks.replace_partitions(rows, p, ["day"])):
+        path = f"{tmp}/t{id(write)}"
+        write(path)
+        assert len(glob.glob(f"{path}/day=*/*.parquet")) == 30

@@ -59,9 +59,10 @@ def test_source_file_and_stamp(spark, tmp):
         with open(os.path.join(tmp, name), "w") as f:
             f.write("en A 1 1\n")
     df = files.with_source_file(files.read_csv(spark, tmp, "locale string, title string, views int, bytes long", sep=" "))
-    stamp = F.nullif(F.regexp_extract("file_name", r"(\d{8}-\d{2})", 1), F.lit(""))
-    got = {r.file_name: r.s for r in df.select("file_name", stamp.alias("s")).collect()}
+    stamp = F.nullif(F.regexp_extract("file_path", r"(\d{8}-\d{2})[^/]*$", 1), F.lit(""))
+    got = {r.file_path.rsplit("/", 1)[1]: r.s for r in df.select("file_path", stamp.alias("s")).collect()}
     assert got == {"pagecounts-20160801-120000": "20160801-12", "nodate": None}
+    assert all(tmp in r.file_path for r in df.collect())  # the full path: equal names stay apart
 
 
 def test_json_missing_key_and_malformed(spark, tmp):
@@ -143,7 +144,7 @@ def test_most_viewed_page_per_hour_from_files(spark, tmp):
             f.write("\n".join(lines) + "\n")
     raw = files.with_source_file(files.read_csv(
         spark, tmp, "locale string, title string, views int, bytes long", sep=" ", quote=""))
-    hour = F.nullif(F.regexp_extract("file_name", r"(\d{8}-\d{2})", 1), F.lit(""))
+    hour = F.nullif(F.regexp_extract("file_path", r"(\d{8}-\d{2})[^/]*$", 1), F.lit(""))
     pages = etl.page_views(raw.withColumn("hour", hour))
     top = peaks.rows_at_group_max_join(pages, "hour", "views", broadcast="checked")
     got = sorted((r.hour, r.title, r.views) for r in top.collect())
