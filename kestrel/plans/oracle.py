@@ -64,7 +64,7 @@ _REL = """
   WITH s AS (SELECT c_name, c_nationkey, c_acctbal - 4500 AS score FROM customer),
        m AS (SELECT c_nationkey, avg(score) AS mean FROM s GROUP BY 1 HAVING avg(score) > 0)
   SELECT (floor((s.score / m.mean) * 1e6 + 0.5) / 1e6) AS relative_score, s.c_name, s.c_nationkey
-  FROM s JOIN m USING (c_nationkey) ORDER BY relative_score DESC"""
+  FROM s JOIN m USING (c_nationkey) WHERE s.score IS NOT NULL ORDER BY relative_score DESC"""
 
 _BFS_BASE = """
   WITH RECURSIVE e AS (
@@ -194,7 +194,7 @@ ORACLE = {
     "log_parse": f"""SELECT host, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, path, bytes
         FROM ({_PARSED})""",
     "log_dropped": f"""SELECT count(*) AS n_lines,
-        count(*) FILTER (WHERE NOT regexp_matches(line, {_LOG_RE})) AS n_dropped FROM ({_LOG_LINES})""",
+        count(*) FILTER (WHERE NOT coalesce(regexp_matches(line, {_LOG_RE}), false)) AS n_dropped FROM ({_LOG_LINES})""",
     "host_correlation": f"""SELECT count(*) AS n_hosts, (floor((corr(n_requests, sum_bytes)) * 1e6 + 0.5) / 1e6) AS r,
         (floor((pow(corr(n_requests, sum_bytes), 2)) * 1e6 + 0.5) / 1e6) AS r2 FROM ({_PER_HOST})""",
     "moments_correlation": f"""SELECT count(*) AS n_hosts, (floor((corr(n_requests, sum_bytes)) * 1e6 + 0.5) / 1e6) AS r
@@ -220,7 +220,7 @@ ORACLE = {
   SELECT CAST(i - 1 AS INTEGER) AS step, CAST(p[i] AS BIGINT) AS node
   FROM (SELECT p, unnest(range(1, len(p) + 1)) AS i FROM longest)""",
     "adjacency_edges": """SELECT DISTINCT o_custkey AS src, o_orderkey % (SELECT count(*) FROM customer) AS dest
-        FROM orders""",
+        FROM orders WHERE o_custkey IS NOT NULL""",
     "rgb_to_lab": _LAB,
     "rgb_to_hsv": _HSV,
     "first_crossing_by_user": _CROSSING,
@@ -324,7 +324,7 @@ ORACLE.update({
         SELECT province, count(*) AS n_purchases, CAST(sum(amount) AS DECIMAL(38,2)) AS spend
         FROM p JOIN c ON o_custkey = c_custkey GROUP BY 1
         UNION ALL SELECT 'bad_json', count(*), NULL FROM customer WHERE c_custkey % 50 = 0
-        UNION ALL SELECT 'bad_csv', count(*), NULL FROM orders WHERE o_orderkey % 40 = 0""",
+        UNION ALL SELECT 'bad_csv', count(*), NULL FROM orders WHERE o_orderkey % 40 = 0 OR o_custkey IS NULL""",
     "external_partitions": f"""SELECT *, 'added' AS step FROM ({_MONTHS}) WHERE month = '1996-03'
         UNION ALL SELECT *, 'discovered' FROM ({_MONTHS})""",
     "struct_vs_variant": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS declared_k,
