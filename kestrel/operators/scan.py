@@ -28,18 +28,25 @@ from pyspark.sql import functions as F
 from kestrel.session import materialize
 
 
+def _chunked(df: DataFrame, group: str, order: list[str], chunks: int | None) -> DataFrame:
+    """``df`` in ranges of the key order, with the range as ``__chunk``.
+
+    All branches must see the *same* cut: a second exchange would sample its
+    own bounds.  Materialising the rows (reliable checkpoint, which goes when
+    nothing refers to it any more) pins one cut.
+    """
+    cut = (df.repartitionByRange(chunks, group, *order) if chunks
+           else df.repartitionByRange(group, *order))
+    return materialize(cut.withColumn("__chunk", F.spark_partition_id()))
+
+
 def running_sum(df: DataFrame, group: str, order: list[str], value: str,
                 chunks: int | None = None, sum_out: str = "running_sum",
                 pos_out: str = "position") -> DataFrame:
     """Append the 1-based position of each row inside its group (in
     ``order``) and the running sum of ``value`` up to and including it.  A
     NULL value adds nothing; a NULL group is a group of its own."""
-    chunked = (df.repartitionByRange(chunks, group, *order) if chunks
-               else df.repartitionByRange(group, *order))
-    # Both branches below must see the *same* range cut: a second exchange
-    # would sample its own bounds.  Materialising the chunked rows (reliable
-    # checkpoint) pins one cut, whatever exchange reuse the optimizer picks.
-    chunked = materialize(chunked.withColumn("__chunk", F.spark_partition_id()))
+    chunked = _chunked(df, group, order, chunks)
 
     # Offsets: one row per (group, chunk) -- a hot group spans few chunks,
     # and only boundary groups span more than one.
@@ -68,10 +75,31 @@ def first_crossing(df: DataFrame, group: str, order: list[str], value: str,
                    out: str = "steps") -> DataFrame:
     """Per group: how many rows, in ``order``, until the running sum of
     ``value`` first reaches ``limit`` (``>=``; the reaching row counts).
-    Groups that never reach it are absent."""
-    scanned = running_sum(df.select(group, *order, value), group, order, value, chunks)
-    return scanned.filter(F.col("running_sum") >= limit) \
-        .groupBy(group).agg(F.min("position").alias(out))
+    Groups that never reach it are absent.
+
+    Each chunk's largest prefix sum tells whether the group crosses there, so
+    the group's first such chunk is known from one row per (group, chunk), and
+    only the rows of that chunk are looked at.
+    """
+    rows = df.select(group, *order, value)
+    chunked = _chunked(rows, group, order, chunks)
+    inside = Window.partitionBy(group, "__chunk").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prefix = chunked.select(group, "__chunk", F.row_number().over(inside).alias("__pos"),
+                            F.coalesce(F.sum(value).over(upto), F.lit(0.0)).alias("__pre"), F.col(value).alias("__v"))
+    # the window's partitions are the aggregate's: no further shuffle
+    per_chunk = prefix.groupBy(group, "__chunk").agg(
+        F.count(F.lit(1)).alias("__n"), F.coalesce(F.sum("__v"), F.lit(0.0)).alias("__s"), F.max("__pre").alias("__top"))
+    before = Window.partitionBy(group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    reached = per_chunk.select(group, "__chunk", "__top",
+                               F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
+                               F.coalesce(F.sum("__s").over(before), F.lit(0.0)).alias("__s0")) \
+        .filter(F.col("__s0") + F.col("__top") >= limit) \
+        .groupBy(group).agg(F.min(F.struct("__chunk", "__n0", "__s0")).alias("__at"))
+    reached = reached.select(F.col(group).alias("__g"), "__at.*").withColumnRenamed("__chunk", "__c")
+    same = prefix[group].eqNullSafe(reached["__g"]) & (prefix["__chunk"] == reached["__c"])
+    return prefix.join(reached, same).filter(F.col("__s0") + F.col("__pre") >= limit) \
+        .groupBy(group).agg(F.min(F.col("__n0") + F.col("__pos")).alias(out))
 
 
 def mean_first_crossing(crossings: DataFrame, steps: str = "steps") -> DataFrame:

@@ -5,11 +5,11 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import oracle_sql, queries
+from kestrel.plans.oracle import ORACLE
+from kestrel.plans.queries import QUERIES
 from kestrel.sources.tables import TABLES
 from tools.compare import digest
 
-ORACLE = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -21,7 +21,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
@@ -32,7 +32,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_known_non_sql():
-    non_sql = {k for k in queries() if k not in ORACLE}
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+    non_sql = {k for k in QUERIES if k not in ORACLE}
     assert non_sql <= {"ml_colour_scores", "ml_label_scores", "ml_next_day",
                        "ml_next_day_scores", "ml_grid"}
 
