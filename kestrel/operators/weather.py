@@ -1,5 +1,4 @@
-"""Daily temperature range and its per-day peak (A6 weather jobs:
-FLT4 FLT1 JN3 PRJ2 AGG4 JN4 SRT3).
+"""Daily temperature range and its per-day peak (FLT4 FLT1 JN3 PRJ2 AGG4 JN4 SRT3).
 
 The original joined every TMAX row to every TMIN row of the same
 (date, station); duplicate readings then multiply into all pairs.  Here the

@@ -22,7 +22,7 @@ from kestrel.sources.tables import load
 _hour, _day = tables.hour_text, tables.day_text
 
 
-# --------------------------------------------------------------- text (A1, A2)
+# --------------------------------------------------------------- text
 
 def _documents(spark, d):
     return load(spark, d, "documents").select("text")
@@ -58,7 +58,7 @@ def text_format(spark: SparkSession, d: str) -> DataFrame:
     return counts.select(text.format_line("%s %d", "word", "n").alias("line"))
 
 
-# ------------------------------------------------------ averages (A1, A3, A6)
+# ------------------------------------------------------ averages
 
 def avg_by_key(spark: SparkSession, d: str) -> DataFrame:
     """Average value per event type (AGG3)."""
@@ -108,7 +108,7 @@ def peak_ties_window(spark: SparkSession, d: str) -> DataFrame:
         .select("hour", "event_type", "n").orderBy("hour", "event_type")
 
 
-# ----------------------------------------------------------------- ETL (A4)
+# ----------------------------------------------------------------- ETL
 
 _SEGMENT_FIELDS = ["c_mktsegment", "c_acctbal", "c_name"]
 
@@ -176,7 +176,7 @@ def observation_etl(spark: SparkSession, d: str) -> DataFrame:
         .select("station", "date", fixed("tmax", 4).alias("tmax"))
 
 
-# ----------------------------------------------------- temperature range (A6)
+# ----------------------------------------------------- temperature range
 
 def _daily_range(spark, d):
     """Per (day, user): largest purchase minus smallest click, one scan and
@@ -230,7 +230,7 @@ def rows_by_source_file(spark: SparkSession, d: str) -> DataFrame:
         F.min(F.contains("file_path", "table").cast("int")).alias("path_names_table"))
 
 
-# ------------------------------------------------------------ logs (A7, A8)
+# ------------------------------------------------------------ logs
 
 def _parsed_logs(spark, d):
     return logs.parse_log_lines(tables.access_log_lines(load(spark, d, "events")))
@@ -288,7 +288,7 @@ def stream_linear_fit(spark: SparkSession, d: str) -> DataFrame:
                         fixed("intercept", 9).alias("intercept"))
 
 
-# ---------------------------------------------------------- dates (A10)
+# ---------------------------------------------------------- dates
 
 def _daily_max(spark, d):
     ev = load(spark, d, "events")
@@ -326,7 +326,7 @@ def union_bag(spark: SparkSession, d: str) -> DataFrame:
     return etl.tag(c, "kind", "customer").unionByName(etl.tag(s, "kind", "supplier"))
 
 
-# ----------------------------------------------------------- graph (A7)
+# ----------------------------------------------------------- graph
 
 BFS_SOURCE = 1
 
@@ -377,7 +377,7 @@ def adjacency_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.parse_adjacency(files.read_lines(spark, path))
 
 
-# ------------------------------------------------------ colours (A10)
+# ------------------------------------------------------ colours
 
 def rgb_to_lab(spark: SparkSession, d: str) -> DataFrame:
     """CIELAB of part colours (ML12 FLT10 MTH2)."""
@@ -392,7 +392,7 @@ def rgb_to_hsv(spark: SparkSession, d: str) -> DataFrame:
     return hsv.select("p_partkey", "R", "G", "B", "H", "S", "V")
 
 
-# ------------------------------------------------- first crossing (A3)
+# ------------------------------------------------- first crossing
 
 CROSSING_LIMIT = 500.0
 
@@ -410,7 +410,7 @@ def first_crossing(spark: SparkSession, d: str) -> DataFrame:
     return m.select("n_groups", fixed("mean_steps", 6).alias("mean_steps"))
 
 
-# ------------------------------------------------- star schema (A9)
+# ------------------------------------------------- star schema
 
 def star_spend(spark: SparkSession, d: str) -> DataFrame:
     """Orders and exact decimal spend per nation and region over the star
@@ -529,7 +529,7 @@ QUERIES = {
 }
 
 
-# ------------------------------------------------------------- ML (A10)
+# ------------------------------------------------------------- ML
 # Model scores vary with partitioning even when seeded, so these have no
 # SQL oracle; the driver checks their rows and schema.
 
@@ -704,7 +704,7 @@ def _ingest_logs(spark, d):
     parsed = logs.parse_log_lines(files.read_lines(spark, raw))
     rows = logs.with_row_id(parsed.select("host", F.col("datetime").cast("string").alias("datetime"),
                                           "path", "bytes"))
-    table = scratch_path(spark, "nasalogs")
+    table = scratch_path(spark, "logs_by_day")
     sinks.replace_partitions(rows.withColumn("day", F.substring("datetime", 1, 10)), table, ["day"])
     return table
 
