@@ -58,11 +58,13 @@ def look_up(docs: DataFrame, found: DataFrame, keys: dict[str, Column], values:
     no row matches).
 
     ``keys``: column of ``found`` -> expression over ``docs``; null matches null.
-    Rows of ``found`` that are equal on the keys must agree on the values.
+    ``found`` is a stored table with one row per key at most.  Both sides are dealt
+    out by the keys at every size, so that the plan for a small table is the
+    one for a large one; the texts are hashed, not sorted, and AQE may split a
+    key that many rows of ``docs`` share.
     """
     right = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                         *[F.col(v).alias(f"__{v}") for v in values]) \
-        .dropDuplicates([f"__k_{k}" for k in keys])
+                         *[F.col(v).alias(f"__{v}") for v in values]).hint("shuffle_hash")
     cond = None
     for k, expr in keys.items():
         c = expr.eqNullSafe(right[f"__k_{k}"])

@@ -254,7 +254,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
            **options) -> DataFrame:
     """``docs`` without the contaminated rows, same columns."""
     found = stored(judge(docs, benchmark, id_col, text_col, **options).filter("contaminated")
-                   .select("doc_id", "text_key", "contaminated"), "contaminated")
+                   .select("doc_id", "text_key", "contaminated").distinct(), "contaminated")
     keys = {"doc_id": F.col(id_col), "text_key": text_key(text_col)}
     return look_up(docs, found, keys, ["contaminated"]) \
         .filter(F.col("__contaminated").isNull()).select(*docs.columns)

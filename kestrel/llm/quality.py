@@ -208,7 +208,8 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     compact = measures(docs, id_col, text_col, host_col)
     judged = _verdicts(compact, frequent_lines(compact, min_docs, share), keep_percent)
     judged = stored(judged.filter("not kept or removed_lines is not null")
-                    .select("doc_id", "host_key", "text_key", "kept", "removed_lines"), "judged")
+                    .select("doc_id", "host_key", "text_key", "kept", "removed_lines")
+                    .dropDuplicates(["doc_id", "host_key", "text_key"]), "judged")
     keys = {"doc_id": F.col(id_col), "host_key": F.xxhash64(F.col(host_col)),
             "text_key": common.text_key(text_col)}
     left = common.look_up(docs, judged, keys, ["kept", "removed_lines"]) \
