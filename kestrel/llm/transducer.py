@@ -33,16 +33,20 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import batched
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.llm.common import runs, utf8
 from kestrel.llm.lexicon import BPE, BYTE, CONTROL, SPACE, UNKNOWN, USER_DEFINED, Lexicon
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-_KEPT = 250_000  # cuts, and pairs, that a process remembers (twice that at most)
+_KEPT = 300_000  # cuts, and pairs, that a process remembers (twice that at most)
+_RUN_BYTES = 4 << 20
 _UNKNOWN_PENALTY = 10.0
 
 
@@ -77,6 +81,14 @@ class Transducer:
         self.pairs, self.paths = _Recent(_KEPT), _Recent(_KEPT)
         cut = r" +[^ {0}]*|[^ {0}]+|[{0}]" if lexicon.lone else r" +[^ ]*|[^ ]+"
         self.cut = re.compile(cut.format(lexicon.lone)) if lexicon.cuts_at_space else None
+        #: trie of the pieces read from their ends; a piece's id is under ""
+        self.endings: dict = {}
+        for piece, i in lexicon.ids.items():
+            node = self.endings
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = i
+        self.states = len(lexicon.pieces) + 0x110000  # pieces, and lone characters
         self.surface = [self._surface(p, t) for p, t in zip(lexicon.pieces, lexicon.types)]
 
     @staticmethod
@@ -103,30 +115,54 @@ class Transducer:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stay(self, a: str, b: str) -> bool:
-        """Whether merging leaves the pieces a and b side by side."""
-        key = (a, b)
-        known = self.pairs[key]
-        if known is None:
-            known = self.pairs.keep(key, self.merged(a + b) == ([a, b] if a else [b]))
-        return known
-
-    def _bpe_path(self, text: str) -> list[str]:
-        last = [""]  # the one state of each position: its last piece
-        ids, longest = self.lexicon.ids, self.lexicon.longest
-        for end in range(1, len(text) + 1):
-            found = text[end - 1]  # a lone character, if nothing else
-            for begin in range(max(0, end - longest), end):
-                piece = text[begin:end]
-                if (end - begin == 1 or piece in ids) and self._stay(last[begin], piece):
-                    found = piece
-                    break
-            last.append(found)
-        out, at = [], len(text)
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+    def _name(self, state: int) -> str:
+        """The piece of a state, or the lone character that no piece is."""
+        size = len(self.lexicon.pieces)
+        return "" if state < 0 else self.lexicon.pieces[state] if state < size else chr(state - size)
+
+    def _stay(self, key: int) -> bool:
+        """Whether merging leaves two pieces side by side (``key``: both states)."""
+        a, b = (self._name(x) for x in (key // self.states - 1, key % self.states))
+        return self.pairs.keep(key, self.merged(a + b) == ([a, b] if a else [b]))
+
+    def _bpe_paths(self, texts: list[str]) -> list[tuple[int, ...]]:
+        """States of the path of each of the sorted ``texts``; the positions of the
+        beginning that a text shares with the one before keep theirs."""
+        size, states, pairs, root = len(self.lexicon.pieces), self.states, self.pairs, self.endings
+        last, length = [-1], [0]  # of each position: its one state, and that piece's length
+        before, out = "", []
+        for text in texts:
+            shared, most = 0, min(len(before), len(text))
+            while shared < most and before[shared] == text[shared]:
+                shared += 1
+            del last[shared + 1:], length[shared + 1:]
+            for end in range(shared + 1, len(text) + 1):
+                # pieces that end here, shortest first
+                node, begin, found = root, end, []
+                while begin:
+                    node = node.get(text[begin - 1])
+                    if node is None:
+                        break
+                    begin -= 1
+                    piece = node.get("")
+                    if piece is not None:
+                        found.append((begin, piece))
+                if not found or found[0][0] != end - 1:
+                    found.insert(0, (end - 1, size + ord(text[end - 1])))
+                for begin, piece in reversed(found):
+                    key = (last[begin] + 1) * states + piece
+                    known = pairs[key]
+                    if known or known is None and self._stay(key):
+                        break
+                last.append(piece)
+                length.append(end - begin)
+            path, at = [], len(text)
+            while at:
+                path.append(last[at])
+                at -= length[at]
+            out.append(tuple(reversed(path)))
+            before = text
+        return out
 
     # --------------------------------------------------------- unigram arcs
 
@@ -149,22 +185,39 @@ class Transducer:
 
     # ------------------------------------------------------------- in, out
 
-    def _path(self, cut: str) -> bytes:
-        text, lexicon = cut.replace(" ", SPACE), self.lexicon
-        pieces = self._bpe_path(text) if lexicon.kind == BPE else self._unigram_path(text)
-        out = array("i")
-        for piece in pieces:
-            own = lexicon.ids.get(piece)
-            out.extend(lexicon.unknown_ids(piece) if own is None else (own,))
+    def _pack(self, path: list[str] | tuple[int, ...]) -> bytes:
+        out, lexicon, size = array("i"), self.lexicon, len(self.lexicon.pieces)
+        for x in path:
+            own = lexicon.ids.get(x) if isinstance(x, str) else x if x < size else None
+            out.extend(lexicon.unknown_ids(x if isinstance(x, str) else chr(x - size)) if own is None else (own,))
         return out.tobytes()
 
+    def _find(self, cuts: set[str]) -> None:
+        """Finds and keeps the paths of new cuts."""
+        texts = sorted(c.replace(" ", SPACE) for c in cuts)
+        found = self._bpe_paths(texts) if self.lexicon.kind == BPE else map(self._unigram_path, texts)
+        for text, path in zip(texts, found):
+            self.paths.keep(text.replace(SPACE, " "), self._pack(path))
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as native 32-bit integers."""
+        spaced = [self.lexicon.spaced(t) for t in texts]
+        cuts = [self.cut.findall(t) if self.cut else [t] if t else [] for t in spaced]
+        new = {c for own in cuts for c in own}
+        kept = {c: path for c in new if (path := self.paths[c]) is not None}
+        new = new.difference(kept)
+        if new:
+            if len(new) > _KEPT // 2:  # more than is remembered: in parts
+                for part in batched(sorted(new), _KEPT // 2):
+                    self._find(set(part))
+                    kept.update((c, self.paths[c]) for c in part)
+            else:
+                self._find(new)
+                kept.update((c, self.paths[c]) for c in new)
+        return [b"".join(map(kept.__getitem__, own)) for own in cuts]
+
     def encode_packed(self, text: str) -> bytes:
-        """The ids of ``text`` as native 32-bit integers."""
-        text, paths, out = self.lexicon.spaced(text), self.paths, []
-        for cut in self.cut.findall(text) if self.cut else [text] if text else []:
-            path = paths[cut]
-            out.append(path if path is not None else paths.keep(cut, self._path(cut)))
-        return b"".join(out)
+        return self.encode_many([text])[0]
 
     def encode(self, text: str) -> list[int]:
         return array("i", self.encode_packed(text)).tolist()
@@ -191,38 +244,22 @@ def _encoder(model: bytes, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(model)
         for batch in batches:
-            n, digest, exact, ids = [], [], [], []
-            held = 0
-            begin = 0
-
-            def made(end: int) -> pa.RecordBatch:
-                own = batch.slice(begin, end - begin)
-                cols = [pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(exact, pa.bool_())]
-                names = ["n_pieces", "ids_sha256", "round_trip"]
-                if with_ids:
-                    cols.append(pa.array(ids, pa.list_(pa.int32())))
-                    names.append("ids")
-                keep = [own.column(i) for i, f in enumerate(batch.schema.names) if f != "__text"]
-                kept = [f for f in batch.schema.names if f != "__text"]
-                return pa.RecordBatch.from_arrays([*keep, *cols], names=[*kept, *names])
-
-            for i, text in enumerate(batch.column("__text")):
-                text = text.as_py() or ""
-                packed = fst.encode_packed(text)
-                own = array("i", packed)
-                n.append(len(own))
-                digest.append(hashlib.sha256(packed).hexdigest())
-                back = fst.decode(own)
-                exact.append(back == text or back == text.replace(SPACE, " "))
+            offsets, _ = utf8(batch.column("__text"))
+            names = [f for f in batch.schema.names if f != "__text"]
+            for lo, hi in runs(offsets, _RUN_BYTES):
+                rows = batch.slice(lo, hi - lo)
+                texts = [t or "" for t in rows.column("__text").to_pylist()]
+                packed = fst.encode_many(texts)
+                back = [fst.decode(array("i", p)) for p in packed]
+                cols = [pa.array([len(p) // 4 for p in packed], pa.int64()),
+                        pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                        pa.array([a == b.replace(SPACE, " ") for a, b in zip(back, texts)], pa.bool_())]
                 if with_ids:
-                    ids.append(own)
-                    held += len(own)
-                if held > 1 << 20:
-                    yield made(i + 1)
-                    begin, held = i + 1, 0
-                    n, digest, exact, ids = [], [], [], []
-            if n:
-                yield made(batch.num_rows)
+                    ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32))))
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(n) for n in names), *cols],
+                    names=[*names, "n_pieces", "ids_sha256", "round_trip", *["ids"] * with_ids])
     return run
 
 
