@@ -183,18 +183,14 @@ def item_fingerprints(benchmark: DataFrame, id_col: str = "item_id", text_col: s
 
 def _bitmap(fps: DataFrame, bits: int) -> bytes:
     """Bitmap of the fingerprints' first ``bits`` bits, of a size that does not
-    depend on the data; each of at most 8 partitions sends one."""
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(1 << (bits - 3), np.uint8)
-        for batch in batches:
-            slot = (batch.column("fp").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-            np.bitwise_or.at(out, slot >> 3, (1 << (slot & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["bits"])
-
-    total = np.zeros(1 << (bits - 3), np.uint8)
-    for row in fps.select("fp").distinct().coalesce(8).mapInArrow(fill, "bits binary").toLocalIterator():
-        total |= np.frombuffer(row["bits"], np.uint8)
-    return total.tobytes()
+    depend on the data: at most ``1 << (bits - 15)`` rows of 4 KB, made with
+    partial aggregation, come to the driver."""
+    slot = F.shiftrightunsigned("fp", 64 - bits) + 1  # bucket numbers and positions count from 1
+    rows = fps.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("at")) \
+        .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect()
+    size = 1 << max(bits - 15, 0)  # buckets of 2 ** 15 bits
+    held = {row["bucket"]: bytes(row["bits"]) for row in rows}
+    return b"".join(held.get(i + 1, bytes(4096)) for i in range(size))
 
 
 def _agree(a: str, b: str):
