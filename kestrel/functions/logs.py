@@ -18,11 +18,11 @@ MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 def log_time(text: Column) -> Column:
     """``dd/Mon/yyyy:HH:mm:ss`` as a timestamp without zone; NULL when it is
     not one (an unknown month, the 31st of February)."""
-    month = F.instr(F.lit(MONTHS), F.regexp_extract(text, r"^\d{2}/([A-Z][a-z]{2})/", 1))
-    # names stand at every third place; '' and text across two names do not count
-    number = F.when(month % 3 == 1, F.lpad(((month + 2) / 3).cast("int").cast("string"), 2, "0"))
-    iso = F.concat(F.regexp_extract(text, r"/(\d{4}):", 1), F.lit("-"), number, F.lit("-"),
-                   F.substring(text, 1, 2), F.lit(" "), F.regexp_extract(text, r":(\d{2}:\d{2}:\d{2})$", 1))
+    place = F.instr(F.lit(MONTHS), F.substring(text, 4, 3))
+    # names stand at every third place; text across two names does not count
+    month = F.when(place % 3 == 1, F.lpad(((place + 2) / 3).cast("int").cast("string"), 2, "0"))
+    iso = F.concat(F.substring(text, 8, 4), F.lit("-"), month, F.lit("-"), F.substring(text, 1, 2),
+                   F.lit(" "), F.substring(text, 13, 8))
     return F.when(text.rlike(r"^\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}$"), iso.try_cast("timestamp_ntz"))
 
 
@@ -35,19 +35,22 @@ def parse_log_lines(lines: DataFrame, line_col: str = "value",
     ``keep_bad`` is set so they can be counted.
     ``datetime`` is a ``timestamp_ntz``; the zone offset is ignored.
     """
+    # The line's groups once each: the steps below only refer to them.  The host
+    # group is ``\S+``: it is empty exactly when the line does not match, so no
+    # separate ``rlike`` pass is needed to tell good from bad.  The time is made
+    # inside a lambda, which reads its group once even where the optimizer
+    # moves the test of ``ok`` below the projection.
     line = F.col(line_col)
-    # The host group is ``\S+``: it is empty exactly when the line does not
-    # match, so no separate ``rlike`` pass is needed to tell good from bad.
-    # Conversions run only on matching lines (ANSI mode raises on '').
-    host = F.regexp_extract(line, LOG_LINE, 1)
-    time = log_time(F.regexp_extract(line, LOG_LINE, 2))
-    ok = F.coalesce((host != F.lit("")) & time.isNotNull(), F.lit(False))
-    parsed = lines.select(
-        F.when(ok, host).alias("host"),
-        F.when(ok, time).alias("datetime"),
-        F.when(ok, F.regexp_extract(line, LOG_LINE, 3)).alias("path"),
-        F.when(ok, F.regexp_extract(line, LOG_LINE, 4).try_cast("long")).alias("bytes"),
-        ok.alias("ok"),
+    groups = lines.select(*[F.regexp_extract(line, LOG_LINE, i).alias(f"__g{i}") for i in (1, 2, 3, 4)])
+    timed = groups.withColumn("__time", F.transform(F.array("__g2"), log_time)[0])
+    ok = (F.coalesce(F.col("__g1"), F.lit("")) != F.lit("")) & F.col("__time").isNotNull()
+    parsed = timed.withColumn("ok", ok).select(
+        F.when(F.col("ok"), F.col("__g1")).alias("host"),
+        F.when(F.col("ok"), F.col("__time")).alias("datetime"),
+        F.when(F.col("ok"), F.col("__g3")).alias("path"),
+        # conversions run only on matching lines (ANSI mode raises on '')
+        F.when(F.col("ok"), F.col("__g4").try_cast("long")).alias("bytes"),
+        "ok",
     )
     if keep_bad:
         return parsed
