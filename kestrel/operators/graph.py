@@ -23,7 +23,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kestrel.session import checkpoint_root, scratch_path
 from kestrel.sources.files import rows
