@@ -107,24 +107,23 @@ def _opened(content: bytes):
 
 def arc_records(content: bytes) -> Iterator[dict]:
     """Records of an ARC file, in order: its header fields by name, ``version``,
-    ``offset`` (in the unpacked file), ``content``, ``short`` (bytes missing)."""
-    file, offset = _opened(content), 0
+    ``offset`` (in the unpacked file), ``content``, ``short`` (bytes missing),
+    ``head`` (whether it is the file's own ``filedesc://`` record, which only the first can be)."""
+    file, offset, first = _opened(content), 0, True
     version, names = 1, _ARC_FIELDS[1].split()
     while line := file.readline():
         at, offset = offset, offset + len(line)
         text = line.rstrip(b"\r\n").decode("utf-8", "replace")
         if not text.strip():
             continue
-        fields = text.rsplit(" ", len(names) - 1)
-        if text.startswith("filedesc://"):
-            fields = [text.split(" ", 1)[0], *text.split(" ")[1:]]
-        if len(fields) < 2 or not fields[-1].isdigit() or \
-                (not text.startswith("filedesc://") and len(fields) != len(names)):
+        head = first and text.startswith("filedesc://")
+        fields = text.split(" ") if head else text.rsplit(" ", len(names) - 1)
+        if len(fields) < 2 or not fields[-1].isdigit() or (not head and len(fields) != len(names)):
             continue
-        size = int(fields[-1])
+        size, first = int(fields[-1]), False
         body = file.read(size)
         offset += len(body)
-        if text.startswith("filedesc://"):
+        if head:
             lines = body.decode("utf-8", "replace").split("\n")
             if lines[0][:1].isdigit():
                 version = int(lines[0].split(" ")[0])
@@ -133,10 +132,10 @@ def arc_records(content: bytes) -> Iterator[dict]:
             elif version in _ARC_FIELDS:
                 names = _ARC_FIELDS[version].split()
             yield {"URL": fields[0], "Archive-date": "", "Content-type": "text/plain", "version": version,
-                   "offset": at, "content": body, "short": size - len(body)}
+                   "offset": at, "content": body, "short": size - len(body), "head": True}
             continue
         yield dict(zip(names, fields)) | {"version": version, "offset": at, "content": body,
-                                          "short": size - len(body)}
+                                          "short": size - len(body), "head": False}
 
 
 def _payload_at(content: bytes) -> int:
@@ -156,7 +155,11 @@ def _http_header(head: bytes, name: str) -> str | None:
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,18}", text) else None
+    """The 64-bit number that ``text`` reads as, else None."""
+    if text is None or not re.fullmatch(r"-?0*[0-9]{1,19}", text):
+        return None
+    number = int(re.sub(r"^(-?)0+(?=[0-9])", r"\1", text))
+    return number if -1 << 63 <= number < 1 << 63 else None
 
 
 # --------------------------------------------------------------- WARC files
@@ -182,7 +185,7 @@ def warc_record(rec: dict, path: str, revisit_of: tuple[str, str] | None = None)
     content = rec["content"]
     start = _payload_at(content)
     http = content.startswith(b"HTTP/")
-    kind = "warcinfo" if rec["URL"].startswith("filedesc:") else \
+    kind = "warcinfo" if rec["head"] else \
         "revisit" if revisit_of else "response" if http else "resource"
     block = content[:start] if kind == "revisit" else content
     if kind == "warcinfo":
@@ -249,7 +252,7 @@ def arc_index(spark: SparkSession, path: str, id_header: str = ID_HEADER) -> Dat
         def rows():
             for file, content in _contents(batches):
                 for rec in arc_records(content):
-                    if not rec["URL"].startswith("filedesc:"):
+                    if not rec["head"]:
                         start = _payload_at(rec["content"])
                         payload = rec["content"][start:]
                         yield (file, rec["offset"], _number(_http_header(rec["content"][:start], id_header)),

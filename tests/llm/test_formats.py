@@ -385,3 +385,19 @@ def test_pages_of_one_payload(spark):
                                     F.when(F.col("id") % 3 > 0, "z" * 500).otherwise(F.col("id").cast("string")).alias("html"))
     got = warc.convert_pages(pages.repartition(4)).collect()
     assert sum(r["record_type"] == "revisit" and r["refers_to"] == 1 for r in got) == 199 and len(got) == 300
+
+
+def test_archives_keep_long_ids_and_filedesc_pages(spark):
+    low, high = -1 << 63, (1 << 63) - 1
+    rows = [(high, "u", BIG), (10**18, "filedesc://a.arc", BIG), (low, "filedesc:x", "own " * 40),
+            (-10**18, "filedesc://b", "1 0 x\na b c\n"), (7, "u", BIG), (8, None, "last")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r["id"]: (r["url"], r["payload_digest"], r["record_type"], r["refers_to"])
+           for r in warc.convert_pages(pages).collect()}
+    want = {i: (u or "-", brute.sha(t), "revisit" if t == BIG and i != 7 else "response",
+                7 if t == BIG and i != 7 else None) for i, u, t in rows}
+    assert got == want
+    again = spark.createDataFrame([(high, "u", BIG), (high - 1, "u", BIG)], "page_id long, url string, html string")
+    assert {(r["id"], r["refers_to"]) for r in warc.convert_pages(again).collect()} == {(high, high - 1), (high - 1, None)}
+    assert [warc._number(t) for t in (str(high), str(low), str(high + 1), str(low - 1), "0" * 5000 + "12", "-007", "x", "", None)] \
+        == [high, low, None, None, 12, -7, None, None, None]
