@@ -3,7 +3,8 @@
 Segments of a path are generalised level by level from the root.  First by
 their form (digit runs read ``{n}``, long opaque names ``{x}``).  Then by counts:
 below a node with more than ``max_children`` different children, those with less
-than ``min_share`` of its pages become the wildcard ``*``.  Then siblings are merged
+than ``min_share`` of its pages and fewer than ``min_labels`` labelled ones, too few
+to tell, become the wildcard ``*``.  Then siblings, rare or not, are merged
 into ``*`` that are statistically like the rest: the form of what follows them
 differs by at most ``max_shape`` (total variation) from all children of the
 node, and their share of bad labels by no more than ``max_z`` standard errors.
@@ -34,6 +35,7 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
 MAX_CHILDREN = 20
 MIN_SHARE = 0.02
+MIN_LABELS = 10  # as many as SMOOTHING: from there on a branch of bad labels alone is rejected
 MAX_SHAPE = 0.25
 MAX_Z = 2.0
 SMOOTHING = 10.0
@@ -90,7 +92,7 @@ def forms(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
 
 
 def templates(rows: DataFrame, max_children: int = MAX_CHILDREN, min_share: float = MIN_SHARE,
-              max_shape: float = MAX_SHAPE, max_z: float = MAX_Z) -> DataFrame:
+              max_shape: float = MAX_SHAPE, max_z: float = MAX_Z, min_labels: int = MIN_LABELS) -> DataFrame:
     """(host, form, template, n, lab, bad) per distinct host and form, stored."""
     tree = stored(rows.groupBy("host", "form").agg(
         F.count("*").alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
@@ -118,7 +120,8 @@ def templates(rows: DataFrame, max_children: int = MAX_CHILDREN, min_share: floa
             rate = F.col("p_bad") / F.col("p_lab")
             error = F.sqrt(rate * (1 - rate) / F.col("lab"))
             alike = (F.col("lab") == 0) | (F.abs(F.col("bad") / F.col("lab") - rate) <= max_z * error)
-            rare = (F.col("children") > max_children) & (F.col("n") < min_share * F.col("p_n"))
+            rare = (F.col("children") > max_children) & (F.col("n") < min_share * F.col("p_n")) \
+                & (F.col("lab") < min_labels)
             decided = stored(children.join(parents, ["host", "template"]).join(common, ["host", "template", "child"])
                              .filter(rare | ((F.col("apart") <= max_shape) & alike))
                              .select("host", "template", "child", F.lit(True).alias("any")), "decided")

@@ -401,3 +401,17 @@ def test_archives_keep_long_ids_and_filedesc_pages(spark):
     assert {(r["id"], r["refers_to"]) for r in warc.convert_pages(again).collect()} == {(high, high - 1), (high - 1, None)}
     assert [warc._number(t) for t in (str(high), str(low), str(high + 1), str(low - 1), "0" * 5000 + "12", "-007", "x", "", None)] \
         == [high, low, None, None, 12, -7, None, None, None]
+
+
+def test_rare_bad_branch_of_a_hot_node_is_blocked(spark):
+    """An all-bad branch of 1.5 % of the pages below a node with more than 20 children."""
+    names = [f"{a}{b}" for a in "abcdef" for b in "pqrst"]
+    rows = [(i, f"http://hot/{names[i % 30]}/story.html") for i in range(3940)]
+    rows += [(4000 + i, "http://hot/spam/story.html") for i in range(60)]
+    rows += [(5000 + i, f"http://hot/rare{c}/story.html") for i, c in enumerate("xyz")]  # too few labels to tell
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marks = spark.createDataFrame([(i, 0 if 4000 <= i < 4060 or i == 5000 else 1, 0) for i, _ in rows],
+                                  "doc_id long, quality int, toxic int")
+    got = {r["page_id"]: (r["verdict"], r["template"]) for r in urls.judge(pages, marks).collect()}
+    assert {i for i, (v, _) in got.items() if v == "block"} == set(range(4000, 4060))
+    assert got[4000][1].startswith("/spam") and {got[i][1].split("/")[1] for i in (5000, 5001, 5002)} == {"*"}
