@@ -8,12 +8,14 @@ with the kinds or none:
 * tokens next to each other share a chain potential;
 * tokens of one document that repeat or resemble each other (the same text but
   for case and outer punctuation, or the same last ``TAIL`` digits of at least as many)
-  share a skip potential, each with the next one like it.
+  share a skip potential, each with the next one like it, and with the first of them
+  that the base labels, if any.
 
 A token without a digit or ``@`` cannot be part of any kind, so its label is fixed to
 none; tokens of base spans are fixed to their kind.  Sum-product messages run
-along chain and skip links until they settle (the links form loops), so an entity
-that the base found at one place is found in its other forms too.  Tokens whose
+along chain and skip links until those of the document settle (the links form
+loops; messages that swing are damped harder and harder), so an entity that the
+base found at one place is found in its other forms too, however far away.  Tokens whose
 belief in a kind reaches ``BELIEF`` become added spans, where they touch no base
 span.
 
@@ -148,7 +150,7 @@ class Graph:
         self.skip: list[tuple[int, int]] = []
 
     def add(self, doc: int, text: str, base: list[Span]) -> None:
-        last, like = None, {}
+        last, like = None, {}  # like: the tokens by what they are alike in
         spans = sorted((s, e, k) for k, s, e in base)
         at = 0
         for a, b in marked_tokens(text):
@@ -167,11 +169,16 @@ class Graph:
             self.edge.append((0 if near else 1, 1))
             for kind, key in enumerate(_likeness(text[a:b])):
                 if key:
-                    twin = like.get((kind, key))
-                    if twin is not None and (not self.skip or self.skip[-1] != (twin, me)):
-                        self.skip.append((twin, me))
-                    like[kind, key] = me
+                    like.setdefault((kind, key), []).append(me)
             last = b
+        links: set[tuple[int, int]] = set()
+        for group in like.values():
+            links.update(zip(group, group[1:]))
+            # a free token with links to all would outweigh what its own shape says
+            anchor = next((i for i in group if self.fixed[i] >= 0), None)
+            if anchor is not None:
+                links.update((min(i, anchor), max(i, anchor)) for i in group if i != anchor)
+        self.skip += sorted(links)
 
     def arrays(self, index: dict[str, int], grow: bool = False):
         """Feature ids (n, f) with 0 for unknown ones."""
@@ -243,37 +250,57 @@ def fit(graph: Graph, steps: int = 200, rate: float = 0.5) -> Model | None:
 
 
 def beliefs(model: Model, graph: Graph, rounds: int = ROUNDS, settle: float = 1e-4) -> np.ndarray:
-    """Marginals (n, labels) by loopy sum-product messages along all links."""
+    """Marginals (n, labels) by loopy sum-product messages along all links, for each
+    document until its own messages settle.  One that comes no nearer to that in
+    ``rounds`` rounds is damped twice as much from there on, until it rests."""
     k, n = len(KINDS) + 1, len(graph.spans)
     own = model.unaries(graph)
     fixed = np.array(graph.fixed, np.int64)
     held = fixed >= 0
-    own[held] = -1e3
+    own[held] = -np.inf
     own[held, fixed[held]] = 0
     links = np.array(graph.chain + graph.skip, np.int64).reshape(-1, 2)
+    kind = np.repeat([0, 1], [len(graph.chain), len(graph.skip)])
+    pair = np.stack([model.chain, model.chain.T, model.skip, model.skip.T])
+    for a, b, way in ((0, 1, 0), (1, 0, 1)):  # what a fixed token says never changes
+        told = held[links[:, a]] & ~held[links[:, b]]
+        np.add.at(own, links[told, b], pair[2 * kind[told] + way, fixed[links[told, a]]])
+    free = ~held[links].any(axis=1)
+    links, kind = links[free], kind[free]
     if not len(links):
         return _softmax(own)
-    tables = np.concatenate([np.repeat(model.chain[None], len(graph.chain), 0),
-                             np.repeat(model.skip[None], len(graph.skip), 0)])
-    # messages in both directions: source, target, table[source label, target label]
-    src, dst = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
-    table = np.concatenate([tables, tables.transpose(0, 2, 1)])
-    back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
+    doc = np.array([s[0] for s in graph.spans], np.int64)
+    order = np.argsort(doc[links[:, 0]], kind="stable")
+    links, kind = links[order], kind[order]
+    # messages in both directions, side by side: source, target, table[source label, target label]
+    src, dst = links.ravel(), links[:, ::-1].ravel()
+    table = pair[np.stack([2 * kind, 2 * kind + 1], 1).ravel()]
     message = np.zeros((len(src), k))
-    for _ in range(rounds):
-        total = own.copy()
-        np.add.at(total, dst, message)
-        given = (total[src] - message[back])[:, :, None] + table
+    sizes = np.unique(doc[src], return_counts=True)[1]  # messages of each document that has not settled
+    step, low, before = np.full(len(sizes), 0.5), np.full(len(sizes), np.inf), np.full(len(sizes), np.inf)
+    total, nodes, local, turn = own.copy(), np.arange(n), own, 0
+    while len(sizes):
+        heard = local.copy()
+        np.add.at(heard, dst, message)
+        given = (heard[src] - message[np.arange(len(src)) ^ 1])[:, :, None] + table
         top = given.max(axis=1, keepdims=True)
         fresh = (top + np.log(np.exp(given - top).sum(axis=1, keepdims=True)))[:, 0]
         fresh -= fresh.max(axis=1, keepdims=True)
-        fresh = 0.5 * message + 0.5 * fresh  # damped, for loops
-        moved = np.abs(fresh - message).max()
-        message = fresh
-        if moved < settle:
-            break
-    total = own.copy()
-    np.add.at(total, dst, message)
+        fresh -= message
+        gap = np.maximum.reduceat(np.abs(fresh).max(axis=1), np.cumsum(sizes) - sizes)
+        message += np.repeat(step, sizes)[:, None] * fresh
+        low, turn = np.minimum(low, gap), turn + 1
+        if turn % rounds == 0:
+            step = np.where(low < 0.9 * before, step, step / 2)
+            low, before = np.full(len(sizes), np.inf), np.minimum(low, before)
+        rest = (0.5 * gap < settle) | (step < settle)
+        if rest.any():
+            gone = np.repeat(rest, sizes)
+            np.add.at(total, nodes[dst[gone]], message[gone])
+            src, dst, table, message = nodes[src[~gone]], nodes[dst[~gone]], table[~gone], message[~gone]
+            sizes, step, low, before = sizes[~rest], step[~rest], low[~rest], before[~rest]
+            nodes = np.unique(src)
+            src, dst, local = np.searchsorted(nodes, src), np.searchsorted(nodes, dst), own[nodes]
     return _softmax(total)
 
 

@@ -415,3 +415,42 @@ def test_rare_bad_branch_of_a_hot_node_is_blocked(spark):
     got = {r["page_id"]: (r["verdict"], r["template"]) for r in urls.judge(pages, marks).collect()}
     assert {i for i, (v, _) in got.items() if v == "block"} == set(range(4000, 4060))
     assert got[4000][1].startswith("/spam") and {got[i][1].split("/")[1] for i in (5000, 5001, 5002)} == {"*"}
+
+
+def test_base_span_reaches_all_its_repeats():
+    """Some hundred repeats after one base span, most of them far from it."""
+    bias = np.zeros((2, 5))
+    bias[1, 0] = 1.5
+    model = pii.Model({"bias": 1}, bias, np.zeros((5, 5)), 3 * np.eye(5))
+    text = "call +1 (826) 555-4081 " + "and 555-4081 " * 400
+    found = pii.added_spans(model, [text], [pii.base_spans(text)])[0]
+    assert [text[a:b] for _, a, b in found] == ["555-4081"] * 400 and {pii.KINDS[k] for k, _, _ in found} == {"phone"}
+
+
+def line_graph(doc, n, graph=None):
+    graph = graph or pii.Graph()
+    at = len(graph.spans)
+    graph.spans += [(doc, i, i + 1) for i in range(n)]
+    graph.features += [["bias"]] * n
+    graph.fixed += [4] + [-1] * (n - 1)
+    graph.edge += [(0, 0)] * n
+    graph.skip += [(at + i, at + i + 1) for i in range(n - 1)]
+    return graph
+
+
+def test_each_document_runs_until_it_settles():
+    model = pii.Model({}, np.zeros((1, 5)), np.zeros((5, 5)), 5 * np.eye(5))
+    own = pii.beliefs(model, line_graph(0, 150))
+    want = np.linalg.matrix_power(np.exp(model.skip) / np.exp(model.skip).sum(axis=1), 100)[4]
+    assert np.allclose(own[100], want, atol=5e-3)
+    short = pii.beliefs(model, line_graph(0, 20))
+    both = pii.beliefs(model, line_graph(1, 150, line_graph(0, 20)))
+    assert np.array_equal(both[:20], short) and np.array_equal(both[20:], own)
+
+
+def test_messages_that_swing_come_to_rest():
+    rng = np.random.default_rng(1)
+    model = pii.Model({}, np.zeros((1, 5)), np.zeros((5, 5)), -6 * np.eye(5))
+    graph = line_graph(0, 12)
+    graph.skip = [(a, b) for a in range(12) for b in range(a + 1, 12) if rng.random() < 0.8]
+    assert np.isfinite(pii.beliefs(model, graph)).all()
