@@ -20,7 +20,7 @@ belief in a kind reaches ``BELIEF`` become added spans, where they touch no base
 span.
 
 The weights are fitted by pseudo-likelihood on the base's labels of a bounded sample
-of documents (``SAMPLE_DOCS``, by a hash of the text); everything else covers all
+of distinct texts (``SAMPLE_DOCS``, by a hash of the text); everything else covers all
 documents.
 
 Defined cases: a null text is empty; texts are looked at whole; equal rows give
@@ -38,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import text_key
+from kestrel.llm.common import stored, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000
 SAMPLE_TOKENS = 20_000  # tokens that the weights are fitted on at most
 _SAMPLE_TOKENS_PER_DOC = 500
+_SAMPLE_TOKEN_CHARS = 256  # a longer sample token keeps its two ends
 BELIEF = 0.9
 TAIL = 7
 ROUNDS = 50
@@ -346,38 +347,50 @@ def added_spans(model: Model | None, texts: list[str], base: list[list[Span]],
 
 def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
           sample_tokens: int = SAMPLE_TOKENS, **options) -> Model | None:
-    """Fits the model on about ``sample_docs`` documents, chosen by a hash of
-    their text, and at most ``sample_tokens`` of their tokens."""
-    total = docs.count()
+    """Fits the model on about ``sample_docs`` distinct texts, chosen by their hash, in
+    its order as many of them as hold ``sample_tokens`` tokens."""
+    key = text_key(text_col)
+    total = docs.select(key.alias("key")).distinct().count()
     if not total:
         return None
     every = max(1, -(-total // sample_docs))
-    key = text_key(text_col)
     picked = docs.select(key.alias("key"), F.col(text_col).alias("text")) \
         .filter((F.pmod("key", F.lit(every)) == 0) & F.col("text").rlike("[0-9@]"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # marked tokens with what lies around them; the gaps of plain text shrink
+        seen, half = set(), _SAMPLE_TOKEN_CHARS // 2
         for batch in batches:
-            keys, out = [], []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                last, pieces = 0, []
+            keys, sizes, out = [], [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+                if key in seen:
+                    continue
+                seen.add(key)
+                last, pieces, text = 0, [], text.as_py()
                 for a, b in marked_tokens(text)[:_SAMPLE_TOKENS_PER_DOC]:
                     if a - last > 64:
                         pieces.append(text[last:last + 30] + " a " + text[a - 30:a])
                     else:
                         pieces.append(text[last:a])
-                    pieces.append(text[a:b])
+                    pieces.append(text[a:b] if b - a <= 2 * half else text[a:a + half] + text[b - half:b])
                     last = b
                 pieces.append(text[last:last + 30])
                 keys.append(key)
                 out.append("".join(pieces))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.string())],
-                                             names=["key", "text"])
-
-    rows = picked.mapInArrow(cut, "key long, text string").limit(2 * sample_docs).collect()
+                sizes.append(len(marked_tokens(out[-1])))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
+                                              pa.array(out, pa.string())], names=["key", "n", "text"])
+
+    sample = stored(picked.mapInArrow(cut, "key long, n long, text string").dropDuplicates(["key"]), "sample")
+    # the sizes first: no more texts are collected than the tokens need
+    held, last = 0, None
+    for row in sample.select("key", "n").orderBy("key").limit(2 * sample_docs).collect():
+        if held >= sample_tokens:
+            break
+        held, last = held + row["n"], row["key"]
+    rows = [] if last is None else sample.filter(F.col("key") <= last).collect()
     graph = Graph()
-    for i, row in enumerate(sorted(rows, key=lambda r: (r["key"], r["text"]))):
+    for i, row in enumerate(sorted(rows, key=lambda r: r["key"])):
         if len(graph.spans) >= sample_tokens:
             break
         graph.add(i, row["text"], base_spans(row["text"]))

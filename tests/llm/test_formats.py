@@ -454,3 +454,14 @@ def test_messages_that_swing_come_to_rest():
     graph = line_graph(0, 12)
     graph.skip = [(a, b) for a in range(12) for b in range(a + 1, 12) if rng.random() < 0.8]
     assert np.isfinite(pii.beliefs(model, graph)).all()
+
+
+def test_copies_do_not_change_the_model(spark, monkeypatch):
+    texts = [f"{w} no{i}x and tel +1 (456) 555-{1000 + i} or {i}@{w}.org" for i in range(60) for w in ("a", "b")]
+    texts.append("1a" * 500_000 + " 7")
+    seen, fit = [], pii.fit
+    monkeypatch.setattr(pii, "fit", lambda g, **o: seen.append((g.features, g.fixed, g.skip)) or fit(g, steps=1))
+    for copies in (1, 5):
+        docs = spark.createDataFrame([(t,) for t in texts * copies], "text string").repartition(5)
+        pii.train(docs, sample_docs=1000, sample_tokens=300)
+    assert seen[0] == seen[1] and 300 <= len(seen[0][1]) < 310
