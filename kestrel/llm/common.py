@@ -72,6 +72,47 @@ def look_up(docs: DataFrame, found: DataFrame, keys: dict[str, Column], values:
     return docs.join(right, cond, "left").drop(*[f"__k_{k}" for k in keys])
 
 
+def bitmap(df: DataFrame, col: str, bits: int) -> DataFrame:
+    """(bucket, held): a bitmap of the first ``bits`` bits of the 64-bit values of
+    ``col``, stored: at most ``1 << (bits - 15)`` rows of 4 KB, however many values."""
+    slot = F.shiftrightunsigned(col, 64 - bits) + 1  # bucket numbers and positions count from 1
+    return stored(df.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("__at"))
+                  .groupBy("bucket").agg(F.bitmap_construct_agg("__at").alias("held")), "bitmap")
+
+
+def bitmap_bytes(held: DataFrame, bits: int) -> bytes:
+    """A :func:`bitmap` as ``1 << (bits - 3)`` bytes at the driver."""
+    parts = {row["bucket"]: bytes(row["held"]) for row in held.collect()}
+    return b"".join(parts.get(i + 1, bytes(4096)) for i in range(1 << max(bits - 15, 0)))
+
+
+def marked(df: DataFrame, value: Column, held: DataFrame, bits: int) -> DataFrame:
+    """``df`` with the flag ``__marked``: the bitmap holds ``value``'s slot.  Never
+    false for a value that was put in.  The broadcast side is of a fixed size."""
+    slot = F.shiftrightunsigned(value, 64 - bits) + 1
+    right = F.broadcast(held.select(F.col("bucket").alias("__bucket"), F.col("held").alias("__held")))
+    at = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__held"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.join(right, F.bitmap_bucket_number(slot) == F.col("__bucket"), "left")
+    return found.withColumn("__marked", F.coalesce(
+        F.getbit(byte, at % 8) == 1, F.lit(False))).drop("__bucket", "__held")
+
+
+def look_up_few(docs: DataFrame, found: DataFrame, keys: dict[str, Column], values: list[str],
+                bits: int = 23) -> DataFrame:
+    """Rows of ``docs`` that have a row in ``found``, with its ``values`` as columns
+    ``__<value>``.  ``keys`` as in :func:`look_up`.  Rows that a bitmap of the
+    keys rules out never move; the others meet ``found`` in a sort-merge join."""
+    held = bitmap(found.select(F.xxhash64(*keys).alias("__hash")), "__hash", bits)
+    near = marked(docs, F.xxhash64(*keys.values()), held, bits).filter("__marked").drop("__marked")
+    right = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(v).alias(f"__{v}") for v in values])
+    cond = None
+    for k, expr in keys.items():
+        c = expr.eqNullSafe(right[f"__k_{k}"])
+        cond = c if cond is None else cond & c
+    return near.join(right, cond).drop(*[f"__k_{k}" for k in keys])
+
+
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row offsets (n + 1) and bytes of a string column; null reads as empty."""
     if isinstance(array, pa.ChunkedArray):

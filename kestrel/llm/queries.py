@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (chat, decontaminate, pii, quality, sharding, simhash, token_counts, transducer,
-                         urls, warc)
+from kestrel.llm import (chat, decontaminate, pii, quality, recompression, sharding, simhash, token_counts,
+                         transducer, urls, warc)
 from kestrel.sources.tables import load
 
 
@@ -73,6 +73,11 @@ def op10_chat(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(chat.segments(turns))
 
 
+def op13_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Words left per document when every passage of 35 words that is found twice went."""
+    return recompression.judge(load(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_decontamination, op3_warc, op4_sharding, op5_simhash, op6_url_filter,
-    op7_sentencepiece, op8_token_counts, op9_pii, op10_chat)}
+    op7_sentencepiece, op8_token_counts, op9_pii, op10_chat, op13_substring_dedup)}

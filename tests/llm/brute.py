@@ -147,3 +147,17 @@ def base_spans(text):
                 continue
             out.append((kind, m.start(), m.end()))
     return out
+
+
+def repeats(docs, window=35):
+    """docs: (id, text).  Per row: id, n_words, n_removed, kept text's digest."""
+    cut = [(i, SPACE_WORD.findall(t or "")) for i, t in docs]
+    seen = Counter(tuple(w[p:p + window]) for _, w in cut for p in range(len(w) - window + 1))
+    out = []
+    for i, words in cut:
+        gone = set()
+        for p in range(len(words) - window + 1):
+            if seen[tuple(words[p:p + window])] > 1:
+                gone.update(range(p, p + window))
+        out.append((i, len(words), len(gone), sha(" ".join(w for k, w in enumerate(words) if k not in gone))))
+    return out
