@@ -124,5 +124,28 @@ from (select *, (before, r) in (('start', 'system'), ('start', 'user'), ('system
 group by conv_id
 """
 
+_OP11 = r"""
+with d as (
+  select doc_id, coalesce(text, '') x, sha256('1:' || coalesce(doc_id::varchar, '')) h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') ts from documents),
+k as (
+  select *, len(ts) n, ('0x' || h[1:8])::bigint % (len(ts) + 1) c1, ('0x' || h[9:16])::bigint % (len(ts) + 1) c2,
+    case when x = '' or contains(x, '<P>') or contains(x, '<S>') or contains(x, '<M>')
+        or ('0x' || h[17:24])::bigint % 100 >= 90 then 'plain'
+      when ('0x' || h[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end form
+  from d),
+p as (
+  select doc_id, n, form, x, array_to_string(ts[1 : least(c1, c2)], '') p,
+    array_to_string(ts[least(c1, c2) + 1 : greatest(c1, c2)], '') m,
+    array_to_string(ts[greatest(c1, c2) + 1 : n], '') s
+  from k)
+select doc_id, n::bigint n, form, case when form <> 'plain' then length(p) end::bigint prefix_chars,
+  case when form <> 'plain' then length(m) end::bigint middle_chars,
+  sha256(case form when 'plain' then x when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+  sha256(x) restored_sha256
+from p
+"""
+
 ORACLE = {"op1_quality_rules": _OP1, "op2_decontamination": _OP2, "op3_warc": _OP3, "op4_sharding": _OP4,
-          "op10_chat": _OP10}
+          "op10_chat": _OP10, "op11_fill_in_middle": _OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (chat, decontaminate, pii, quality, recompression, sharding, simhash, token_counts,
+from kestrel.llm import (chat, conversations, decontaminate, pii, piece_table, quality, recompression, sharding, simhash, token_counts,
                          transducer, urls, warc)
 from kestrel.sources.tables import load
 
@@ -73,6 +73,18 @@ def op10_chat(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(chat.segments(turns))
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    """Form, cuts and digests of each document's fill-in-middle output and of the text rebuilt from it."""
+    return piece_table.fill_in_middle(load(spark, d, "documents"), with_output=False) \
+        .withColumnRenamed("id", "doc_id").drop("pieces")
+
+
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Faults of each damaged conversation, and its cheapest repair."""
+    rows = conversations.damage(load(spark, d, "conversations"))
+    return conversations.repair(rows, missing=F.col("missing"))
+
+
 def op13_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Words left per document when every passage of 35 words that is found twice went."""
     return recompression.judge(load(spark, d, "documents"))
@@ -80,4 +92,5 @@ def op13_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_decontamination, op3_warc, op4_sharding, op5_simhash, op6_url_filter,
-    op7_sentencepiece, op8_token_counts, op9_pii, op10_chat, op13_substring_dedup)}
+    op7_sentencepiece, op8_token_counts, op9_pii, op10_chat, op11_fill_in_middle,
+    op12_conversation_repair, op13_substring_dedup)}

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -161,3 +162,91 @@ def repeats(docs, window=35):
                 gone.update(range(p, p + window))
         out.append((i, len(words), len(gone), sha(" ".join(w for k, w in enumerate(words) if k not in gone))))
     return out
+
+
+def fill_in_middle(rows):
+    """Token lists and string pieces."""
+    out = []
+    for i, text in rows:
+        text = text or ""
+        tokens = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+        h = sha(f"1:{'' if i is None else i}")
+        h1, h2, h3, h4 = (int(h[8 * k:8 * k + 8], 16) for k in range(4))
+        n = len(tokens)
+        if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+            out.append((i, n, "plain", None, None, sha(text), sha(text)))
+            continue
+        a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+        p, m, s = "".join(tokens[:a]), "".join(tokens[a:b]), "".join(tokens[b:])
+        spm = h4 % 100 < 20
+        whole = f"<S>{s}<P>{p}<M>{m}" if spm else f"<P>{p}<S>{s}<M>{m}"
+        out.append((i, n, "spm" if spm else "psm", len(p), len(m), sha(whole), sha(text)))
+    return out
+
+
+def damage(rows):
+    """(conv_id, turn, role, text) rows -> the same after damage, and all ids."""
+    out = []
+    for c, t, r, x in rows:
+        r, x = (" " if r is None else r), (" " if x is None else x)
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        if k == 1:
+            x = ""
+        if k == 2:
+            x = re.sub("[.!?]", "", x)
+        if k == 4:
+            r = "user"
+        out += [(c, t, r, x)] * (0 if k == 0 else 2 if k == 3 else 1)
+    return out, {r[0] for r in rows}
+
+
+def repair(rows, ids):
+    """Cheapest edits by search over (cost, letters): a forward table of the best string per state."""
+    out = []
+    for conv in ids:
+        mine = [r for r in rows if r[0] == conv]
+        mine.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3][:32].encode(),
+                                 hashlib.md5(r[3].encode()).hexdigest()))
+        seen, faults = set(), []
+        for _, _, r, x in mine:
+            y = x.rstrip(" \t\n\x0b\x0c\r")
+            faults.append("blank" if not y else "duplicate" if (r, x) in seen else "truncated" if y[-1] not in ".!?" else "")
+            seen.add((r, x))
+        grow = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+        full = {"u": "user", "a": "assistant"}
+
+        def insert(table):
+            for _ in range(4):
+                for s, (c, e, p) in list(table.items()):
+                    for i, to in grow[s].items():
+                        if i != "s":
+                            new = (c + 3, e + "I", [*p, f"{full[i]}:"])
+                            table[to] = min(table.get(to, new), new, key=lambda v: v[:2])
+            return table
+
+        table = insert({"": (0, "", [])})
+        for (_, _, r, x), fault in zip(mine, faults):
+            new = {}
+
+            def offer(s, c, e, p):
+                if s not in new or (c, e) < new[s][:2]:
+                    new[s] = (c, e, p)
+
+            for s, (c, e, p) in table.items():
+                offer(s, c + 4, e + "D", p)
+                if fault in ("blank", "duplicate"):
+                    continue
+                more = 3 if fault else 0
+                if r[:1] in grow[s]:
+                    offer(grow[s][r[:1]], c + more, e + "K", [*p, f"{r}:{x}"])
+                for i, to in grow[s].items():
+                    if i != "s":
+                        offer(to, c + more + 3, e + "R", [*p, f"{full[i]}:{x}"])
+            table = insert(new)
+        c, e, p = min((table[s] for s in ("", "a") if s in table), key=lambda v: v[:2])
+        turns = [r[1] for r in mine if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        near = [a[2][:1] + b[2][:1] for a, b in zip(mine, mine[1:])]
+        out.append((conv, gaps, *(faults.count(k) for k in ("blank", "duplicate", "truncated")),
+                    sum(k not in ("su", "ua", "au") for k in near), c, e, sha("\n".join(p))))
+    return out
