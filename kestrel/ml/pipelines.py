@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import colour
+from kestrel.ml.scoring import scoring_model
 from kestrel.operators.joins import previous_day_join
 from kestrel.sources.files import rows as literal_rows
 
@@ -66,13 +67,16 @@ def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 
 def mlp_pipeline(features: list[str], label: str, n_classes: int, hidden: int = 30,
                  sql: str | None = None, max_iter: int = 100, seed: int = SEED) -> Pipeline:
-    """[optional SQL stage] -> assemble -> index label -> MLP (ML2 ML3 ML5 ML7 UDF4)."""
+    """[optional SQL stage] -> assemble -> index label -> MLP (ML2 ML3 ML5 ML7 UDF4).
+
+    A label that fitting never saw gets an index that is never predicted, so that
+    such rows stay and count as errors."""
     stages = []
     if sql:
         stages.append(SQLTransformer(statement=sql))
     stages += [
         VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
-        StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="skip"),
+        StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep"),
         MultilayerPerceptronClassifier(layers=[len(features), hidden, n_classes],
                                        maxIter=max_iter, blockSize=128, seed=seed,
                                        labelCol="label_index", featuresCol="features"),
@@ -91,14 +95,6 @@ def f1_score(predictions: DataFrame) -> float:
     return MulticlassClassificationEvaluator(labelCol="label_index").evaluate(predictions)
 
 
-def with_label_names(model: PipelineModel, predictions: DataFrame,
-                     out: str = "predicted") -> DataFrame:
-    """Prediction index -> label text with the fitted indexer's labels (ML4)."""
-    indexer = [s for s in model.stages if hasattr(s, "labels")][0]
-    return IndexToString(inputCol="prediction", outputCol=out,
-                         labels=indexer.labels).transform(predictions)
-
-
 def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
     """Fit RGB -> word and RGB -> LAB -> word classifiers; one score row each."""
     spark = colours.sparkSession
@@ -124,7 +120,7 @@ def vector_label_scores(df: DataFrame, key: str, vector: str, label: str, seed:
     train, valid = split(data, [key])
     train = bounded(train, [key])
     pipe = Pipeline(stages=[
-        StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip"),
+        StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
         MultilayerPerceptronClassifier(layers=[dim, 30, n_classes], maxIter=100,
                                        blockSize=128, seed=seed, labelCol="label_index",
                                        featuresCol="features_in")])
@@ -136,9 +132,7 @@ def vector_label_scores(df: DataFrame, key: str, vector: str, label: str, seed:
 
 def grid_predictions(model: PipelineModel, grid: DataFrame) -> DataFrame:
     """Score a generated feature grid and attach the label text (RE4)."""
-    scored = model.transform(grid.withColumn("word", F.lit(colour.COLOUR_WORDS[0])))
-    return with_label_names(model, scored).select("id", "lab_a", "lab_b", "R", "G", "B",
-                                                  "predicted")
+    return scoring_model(model).transform(grid).select("id", "lab_a", "lab_b", "R", "G", "B", "predicted")
 
 
 # ---------------------------------------------------------------- regression

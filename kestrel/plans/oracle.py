@@ -291,7 +291,27 @@ _DAILY = """
   SELECT CAST(user_id AS VARCHAR) AS station, CAST(ts AS DATE) AS date, max(value) AS tmax
   FROM events GROUP BY 1, 2"""
 
+_CONFUSION = """
+  WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label,
+                    ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 4 = 0 AS held
+             FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+  m AS (SELECT label, pos, avg(x) AS x
+        FROM (SELECT label, unnest(v) AS x, unnest(range(len(v))) AS pos FROM e WHERE NOT held) GROUP BY 1, 2),
+  w AS (SELECT label AS predicted, list(x ORDER BY pos) AS w, -sum(x * x) / 2 AS b FROM m GROUP BY 1),
+  s AS (SELECT label, predicted, row_number() OVER (
+          PARTITION BY vec_id ORDER BY list_dot_product(v, w) + b DESC, predicted) AS r
+        FROM e, w WHERE held)
+  SELECT label, predicted, count(*) AS n FROM s WHERE r = 1 GROUP BY 1, 2"""
+
 ORACLE.update({
+    "label_index": """SELECT p_type AS label, n, row_number() OVER (ORDER BY n DESC, p_type) - 1 AS label_index
+        FROM (SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY 1)""",
+    "network_confusion": _CONFUSION,
+    "network_f1": f"""WITH c AS ({_CONFUSION}),
+        k AS (SELECT label AS k, n, 0 AS said, CASE WHEN label = predicted THEN n ELSE 0 END AS hit FROM c
+              UNION ALL SELECT predicted, 0, n, 0 FROM c),
+        p AS (SELECT k, sum(n) AS n, sum(said) AS said, sum(hit) AS hit FROM k GROUP BY 1)
+        SELECT round(sum(n * 2 * hit / (n + said)) / sum(n), 9) AS f1, CAST(sum(n) AS BIGINT) AS n FROM p""",
     "split_sizes": """SELECT CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 4 = 0
           THEN 'valid' ELSE 'train' END AS side, label, count(*) AS n FROM embeddings GROUP BY 1, 2""",
     "tmax_features": f"""WITH d AS ({_DAILY})

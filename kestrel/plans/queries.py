@@ -633,13 +633,48 @@ def ml_grid(spark: SparkSession, d: str) -> DataFrame:
     """A 256 x 256 LAB slice at L=70 scored by the RGB colour model trained
     on the part colours, with the predicted word attached (RE4 ML4)."""
     from kestrel.ml import pipelines
+    columns = ["R", "G", "B", "word"]
     model = pipelines.fit_cached(
         pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)),
-        _labelled_colours(spark, d))
+        pipelines.bounded(pipelines.labelled(_labelled_colours(spark, d), columns), columns))
     return pipelines.grid_predictions(model, colour.lab_grid(spark, 70.0, 256))
 
 
+def label_index(spark: SparkSession, d: str) -> DataFrame:
+    """Index of the part types by falling frequency, then text (ML3)."""
+    from kestrel.ml import scoring
+    return scoring.label_index(load(spark, d, "part"), "p_type")
+
+
+def _centroid_confusion(spark, d):
+    from kestrel.ml import pipelines, scoring
+    train, valid = pipelines.split(load(spark, d, "embeddings"), ["vec_id"])
+    network = scoring.centroid_network(train, "embedding", "label").persist()
+    try:
+        scored = scoring.with_outputs(valid.dropna(subset=["embedding", "label"]), "embedding", network)
+        labels = F.array(*[F.lit(r["label"]) for r in network.orderBy("unit").select("label").collect()])
+    finally:
+        network.unpersist()
+    scored = scored.withColumn("predicted", F.get(labels, scoring.best_unit("outputs").cast("int")))
+    return scoring.confusion(scored, "label", "predicted")
+
+
+def network_confusion(spark: SparkSession, d: str) -> DataFrame:
+    """Label and predicted label of the held-out embeddings, scored by a network whose
+    weights are a table (ML5 ML7 ML8)."""
+    return _centroid_confusion(spark, d)
+
+
+def network_f1(spark: SparkSession, d: str) -> DataFrame:
+    """Weighted F1 from the confusion counts, to nine digits (ML8)."""
+    from kestrel.ml import scoring
+    return scoring.weighted_f1(_centroid_confusion(spark, d)).select(F.round("f1", 9).alias("f1"), "n")
+
+
 QUERIES.update({
+    "label_index": label_index,
+    "network_confusion": network_confusion,
+    "network_f1": network_f1,
     "split_sizes": split_sizes,
     "tmax_features": tmax_features,
     "next_day_inputs": next_day_inputs,

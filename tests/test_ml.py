@@ -84,3 +84,71 @@ def test_split_follows_the_keys(spark):
     c, d = pipelines.split(df.coalesce(1), ["id"])
     assert sorted(a.collect()) == sorted(c.collect()) and sorted(b.collect()) == sorted(d.collect())
     assert a.count() + b.count() == 1000 and 700 < a.count() < 800
+
+
+def test_grid_is_scored_whole(spark):
+    """Every grid point comes back with a word, the one that its colour gets when scored directly."""
+    from kestrel.ml import pipelines, scoring
+    n = len(colour.COLOUR_WORDS)
+    data = Q._labelled_colours(spark, SF_SMALL).select("R", "G", "B", "word")
+    model = pipelines.fit_cached(pipelines.mlp_pipeline(["R", "G", "B"], "word", n, max_iter=20), data)
+    grid = colour.lab_grid(spark, 70.0, 24)
+    got = {r.id: (r.R, r.G, r.B, r.predicted) for r in pipelines.grid_predictions(model, grid).collect()}
+    assert len(got) == 24 * 24 and {p for *_, p in got.values()} <= set(colour.COLOUR_WORDS)
+    known = data.first().word
+    direct = model.transform(grid.selectExpr("*", f"'{known}' AS word")).select("id", "prediction").collect()
+    labels = model.stages[1].labels
+    assert {r.id: labels[int(r.prediction)] for r in direct} == {i: p for i, (*_, p) in got.items()}
+    # the same weights as a table
+    table = scoring.network_table(model.stages[-1])
+    scored = scoring.with_outputs(grid.selectExpr("id", "array(R, G, B) AS v"), "v", table)
+    plain = scored.select("id", scoring.best_unit("outputs").alias("k")).collect()
+    assert {r.id: labels[r.k] for r in plain} == {i: p for i, (*_, p) in got.items()}
+
+
+def test_ml_grid_query_returns_every_point(spark):
+    out = Q.ml_grid(spark, SF_SMALL)
+    assert out.count() == 65_536
+    assert {r.predicted for r in out.select("predicted").distinct().collect()} <= set(colour.COLOUR_WORDS)
+
+
+def test_grid_colours_against_sql(spark):
+    import duckdb
+    import numpy as np
+    m = np.linalg.inv(np.array(colour._XYZ_FROM_RGB))
+    inv = "CASE WHEN {0} ** 3 > 0.008856 THEN {0} ** 3 ELSE ({0} - 16.0 / 116) / 7.787 END"
+    lin = [" + ".join(f"({float(m[i][k])!r}) * {c}" for k, c in enumerate("xyz")) for i in range(3)]
+    out = ", ".join(f"255 * least(greatest(CASE WHEN {e} > 0.0031308 THEN 1.055 * ({e}) ** (1 / 2.4) - 0.055 "
+                    f"ELSE 12.92 * ({e}) END, 0), 1)" for e in lin)
+    want = duckdb.sql(f"""
+        WITH g AS (SELECT id, -100 + (id % 16) * 200.0::DOUBLE / 15 a, -100 + (id // 16) * 200.0::DOUBLE / 15 b
+                   FROM range(256) t(id)),
+        f AS (SELECT *, 86.0::DOUBLE / 116 + a / 500 fx, 86.0::DOUBLE / 116 fy, 86.0::DOUBLE / 116 - b / 200 fz FROM g),
+        x AS (SELECT *, ({inv.format('fx')}) * 0.95047 x, {inv.format('fy')} y, ({inv.format('fz')}) * 1.08883 z FROM f)
+        SELECT id, a, b, {out} FROM x ORDER BY id""").fetchall()
+    got = colour.lab_grid(spark, 70.0, 16).orderBy("id").collect()
+    assert np.allclose(np.array([tuple(r) for r in got], float), np.array(want, float), atol=1e-9)
+
+
+def test_unseen_labels_count_as_errors(spark):
+    from kestrel.ml import pipelines, scoring
+    rows = [(i % 200, (i * 7) % 200, (i * 13) % 200, "dark" if i % 200 < 100 else "light") for i in range(200)]
+    df = spark.createDataFrame(rows, "R int, G int, B int, word string")
+    model = pipelines.fit_cached(pipelines.mlp_pipeline(["R", "G", "B"], "word", 2, max_iter=30), df)
+    more = df.unionByName(df.limit(100).selectExpr("R", "G", "B", "'new' AS word"))
+    scored = model.transform(more)
+    assert scored.count() == 300
+    low = pipelines.f1_score(scored)
+    assert low < pipelines.f1_score(model.transform(df))
+    counts = scoring.confusion(scored, "label_index", "prediction")
+    assert abs(scoring.weighted_f1(counts).first().f1 - low) < 1e-9
+
+
+def test_label_index_is_the_indexers(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    from kestrel.ml import scoring
+    df = spark.createDataFrame([(w,) for w in ["b", "a", "c", "b", "a", "d", None, "é"]], "w string")
+    want = StringIndexer(inputCol="w", outputCol="i", handleInvalid="skip").fit(df).labels
+    got = [r.label for r in scoring.label_index(df, "w").orderBy("label_index").collect()]
+    assert got == want
