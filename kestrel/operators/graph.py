@@ -73,21 +73,23 @@ def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: i
         return rounds
     checkpoint_root(spark)
     table = prepared_edges(edges, src, dest)
-    e = spark.table(table)
-    while max_rounds is None or len(rounds) <= max_rounds:
-        known = reduce(DataFrame.union, [r.select("node") for r in rounds])
-        frontier = rounds[-1].select(F.col("node").alias("src"))
-        new = e.join(frontier, "src").groupBy(F.col("dest").alias("node")).agg(F.min("src").alias("source")) \
-            .join(known, "node", "left_anti") \
-            .select("node", "source", F.lit(len(rounds)).alias("distance")).checkpoint(eager=True)
-        hit = F.max(F.col("node") == F.lit(target)) if target is not None else F.lit(False)
-        stats = new.agg(F.count(F.lit(1)).alias("n"), hit.alias("hit")).first()
-        if stats["n"] == 0:
-            break
-        rounds.append(new)
-        if stats["hit"]:
-            break
-    spark.sql(f"DROP TABLE {table}")
+    try:
+        e = spark.table(table)
+        while max_rounds is None or len(rounds) <= max_rounds:
+            known = reduce(DataFrame.union, [r.select("node") for r in rounds])
+            frontier = rounds[-1].select(F.col("node").alias("src"))
+            new = e.join(frontier, "src").groupBy(F.col("dest").alias("node")).agg(F.min("src").alias("source")) \
+                .join(known, "node", "left_anti") \
+                .select("node", "source", F.lit(len(rounds)).alias("distance")).checkpoint(eager=True)
+            hit = F.max(F.col("node") == F.lit(target)) if target is not None else F.lit(False)
+            stats = new.agg(F.count(F.lit(1)).alias("n"), hit.alias("hit")).first()
+            if stats["n"] == 0:
+                break
+            rounds.append(new)
+            if stats["hit"]:
+                break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     return rounds
 
 

@@ -586,24 +586,14 @@ def _daily_series(spark, d):
              F.first(((uid * 13) % 1000).cast("float")).alias("elevation"))
 
 
-# Saved forests of this driver, by application and tables: fitted once.
-_FORESTS: dict[tuple[str, str], str] = {}
-
-
 def _fit_tmax(spark, d):
-    from pyspark.ml import PipelineModel
-
     from kestrel.ml import pipelines
     from kestrel.session import scratch_path
     daily, keys = _daily_series(spark, d), ["station", "date"]
     data = pipelines.labelled(pipelines.tmax_features(daily), [*pipelines.FEATURES, "tmax"])
     train, valid = pipelines.split(data, keys)
-    at = (spark.sparkContext.applicationId, d)
-    if at in _FORESTS:
-        return daily, train, valid, PipelineModel.load(_FORESTS[at])
     model = pipelines.fit_cached(pipelines.forest_pipeline(), pipelines.bounded(train, keys))
-    _FORESTS[at] = scratch_path(spark, "tmax_model")
-    return daily, train, valid, pipelines.save_and_load(model, _FORESTS[at])
+    return daily, train, valid, pipelines.save_and_load(model, scratch_path(spark, "tmax_model"))
 
 
 def ml_next_day(spark: SparkSession, d: str) -> DataFrame:
@@ -777,9 +767,10 @@ def _schema(spark, name: str) -> str:
     """A fresh namespace of this driver's."""
     import uuid
 
+    from kestrel.session import scratch_path
     from kestrel.sources import catalog
     name = f"{name}_{uuid.uuid4().hex[:8]}"
-    catalog.create_schema(spark, name)
+    catalog.create_schema(spark, name, scratch_path(spark, name))
     return name
 
 

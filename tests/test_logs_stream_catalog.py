@@ -194,3 +194,13 @@ def test_console_sink_bounded_run(spark, tmp):
     regression.run_to_console(regression.running_fit(regression.parse_points(msgs)), seconds=5)
     assert time.time() - t0 < 60
     assert not [q for q in spark.streams.active if q.isActive]
+
+
+def test_many_partitions_in_one_statement(spark, tmp):
+    spark.sql("DROP TABLE IF EXISTS many_parts")
+    catalog.create_table(spark, "many_parts", "x int, p string", location=tmp + "/t", partitioned_by=["p"])
+    try:
+        catalog.add_partitions(spark, "many_parts", "p", [f"v{k}" for k in range(120)], tmp + "/t", per_statement=50)
+        assert spark.sql("SHOW PARTITIONS many_parts").count() == 120
+    finally:
+        catalog.drop_table(spark, "many_parts")
