@@ -6,7 +6,8 @@ are made distinct once and written as a table bucketed by their source node in
 the shared scratch folder, so that no round shuffles them again.  Each round joins
 only the *frontier* (nodes first reached in the previous round) with them,
 keeps for every newly reached node the smallest parent, and removes nodes
-already known with an anti-join.  A round's new rows (node, parent, distance)
+already known with an anti-join.  Known nodes lie in visited tables that are merged in tiers,
+so the plan of a round grows with the logarithm of the rounds only.  A round's new rows (node, parent, distance)
 go to the shared folder (reliable, so a lost executor does not lose them) and
 the plan of the next round starts from those files; lineage never grows.  Only
 one number per round comes to the driver: how many new nodes there are, or
@@ -29,6 +30,9 @@ from kestrel.sources.files import rows
 
 TREE_SCHEMA = "node bigint, source bigint, distance int"
 
+#: Visited tables that are merged into one of the next tier.
+MERGE = 4
+
 
 def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
     """``'src: d1 d2 ...'`` lines to ``(src, dest)`` rows (GRF1).
@@ -58,6 +62,18 @@ def prepared_edges(edges: DataFrame, src: str = "src", dest: str = "dest") -> st
     return name
 
 
+def _visited(tiers: list[tuple[int, DataFrame]], new: DataFrame) -> list[tuple[int, DataFrame]]:
+    """The visited tables after a round: ``new`` joins them, and whenever the last ``MERGE`` tables
+    are of one tier, one table of the next tier, dealt out by node, replaces them.  So there are at most
+    ``MERGE - 1`` tables a tier, and a row is rewritten once a tier, the logarithm of the rounds."""
+    tiers = [*tiers, (0, new)]
+    while len(tiers) >= MERGE and len({t for t, _ in tiers[-MERGE:]}) == 1:
+        tier, last = tiers[-1][0], [df for _, df in tiers[-MERGE:]]
+        merged = reduce(DataFrame.union, last).hint("rebalance", "node").checkpoint(eager=True)
+        tiers = [*tiers[:-MERGE], (tier + 1, merged)]
+    return tiers
+
+
 def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
                target: int | None = None, src: str = "src", dest: str = "dest") -> list[DataFrame]:
     """The search as one table ``node, source, distance`` per round, from the
@@ -68,15 +84,22 @@ def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: i
     after ``max_rounds`` rounds, or -- when ``target`` is given -- after
     the round that reaches it (GRF2).
     """
+    return _search(spark, edges, source, max_rounds, target, src, dest)[0]
+
+
+def _search(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None, target: int | None,
+            src: str, dest: str) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The tables of the rounds, and the visited tables that hold the same rows."""
     rounds = [rows(spark, [(int(source), int(source), 0)], TREE_SCHEMA)]
+    tiers = _visited([], rounds[0])
     if target is not None and int(target) == int(source):
-        return rounds
+        return rounds, rounds
     checkpoint_root(spark)
     table = prepared_edges(edges, src, dest)
     try:
         e = spark.table(table)
         while max_rounds is None or len(rounds) <= max_rounds:
-            known = reduce(DataFrame.union, [r.select("node") for r in rounds])
+            known = reduce(DataFrame.union, [v.select("node") for _, v in tiers])
             frontier = rounds[-1].select(F.col("node").alias("src"))
             new = e.join(frontier, "src").groupBy(F.col("dest").alias("node")).agg(F.min("src").alias("source")) \
                 .join(known, "node", "left_anti") \
@@ -86,17 +109,18 @@ def bfs_rounds(spark: SparkSession, edges: DataFrame, source: int, max_rounds: i
             if stats["n"] == 0:
                 break
             rounds.append(new)
+            tiers = _visited(tiers, new)
             if stats["hit"]:
                 break
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return rounds
+    return rounds, [v for _, v in tiers]
 
 
 def bfs(spark: SparkSession, edges: DataFrame, source: int, max_rounds: int | None = None,
         target: int | None = None, src: str = "src", dest: str = "dest") -> DataFrame:
     """``node, source, distance`` of every node reached (see :func:`bfs_rounds`)."""
-    return reduce(DataFrame.union, bfs_rounds(spark, edges, source, max_rounds, target, src, dest))
+    return reduce(DataFrame.union, _search(spark, edges, source, max_rounds, target, src, dest)[1])
 
 
 def with_paths(rounds: list[DataFrame]) -> DataFrame:

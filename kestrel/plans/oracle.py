@@ -359,3 +359,22 @@ ORACLE.update({
         c_mktsegment AS subreddit, count(*) AS n, CAST(sum(round(c_acctbal * 100)) AS BIGINT) AS cents
         FROM customer WHERE contains(c_mktsegment, 'E') GROUP BY 1, 2""",
 })
+
+_UNIFORM = "CAST(('0x' || substr(md5('42' || chr(31) || '=' || event_id), 1, 13)) AS BIGINT) / 4503599627370496.0"
+
+ORACLE.update({
+    "forest_from_table": f"""WITH d AS ({_DAILY})
+        SELECT t.station, strftime(t.date, '%Y-%m-%d') AS date, true AS equal
+        FROM d t JOIN d y ON y.station = t.station AND y.date + 1 = t.date
+        WHERE t.tmax IS NOT NULL AND y.tmax IS NOT NULL
+          AND ('0x' || substr(md5(t.station || '|' || strftime(t.date, '%Y-%m-%d')), 1, 8))::BIGINT % 4 = 0""",
+    "forest_importances": "SELECT true AS equal, 1.0::DOUBLE AS total",
+    "append_batches": """SELECT 'b' || (event_id % 3) AS batch, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_ids
+        FROM events GROUP BY 1""",
+    "stream_restarted_fit": _FIT,
+    "key_uniforms": f"SELECT event_id, CAST({_UNIFORM} AS DOUBLE) AS u, {_UNIFORM} < 0.1 AS sampled FROM events",
+    "uniform_crossing": f"""SELECT user_id, min(p) AS steps FROM (
+        SELECT user_id, row_number() OVER w AS p, sum(CAST({_UNIFORM} AS DOUBLE)) OVER w AS s FROM events
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) WHERE s >= 1 GROUP BY 1""",
+    "preview_membership": "SELECT least(count(*), 20) AS n, least(count(*), 20) AS n_known FROM orders",
+})

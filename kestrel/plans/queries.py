@@ -68,10 +68,17 @@ def avg_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def avg_by_key_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Same average from daily (count, sum) pre-aggregates merged (AGG2 RE5)."""
+    """The same average from daily (count, sum) parts that are stored once and merged (AGG2 RE5).
+    The last day is stored twice: the second time replaces it."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import batches
     ev = load(spark, d, "events").withColumn("day", _day())
-    parts = aggregate.partial_sums(ev, "day", "event_type", "value")
-    merged = aggregate.merge_partial_sums(parts, "event_type", "avg_value")
+    table = scratch_path(spark, "daily_sums")
+    batches.store_partial_sums(ev, table, "day", ["event_type"], "value")
+    last = ev.agg(F.max("day")).first()[0]
+    batches.store_partial_sums(ev.filter(F.col("day") == F.lit(last)), table, "day", ["event_type"], "value")
+    merged = batches.stored_averages(spark, table, "event_type string, n bigint, total double, day string",
+                                     ["event_type"], "avg_value")
     return merged.select("event_type", "n", fixed("total", 4).alias("total"),
                          fixed("avg_value", 6).alias("avg_value"))
 
@@ -909,3 +916,100 @@ def etl_split(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES.update({f.__name__: f for f in (
     typed_load, external_partitions, struct_vs_variant, page_peak, page_peak_rows, etl_split)})
+
+
+# ------------------------------------- stored models, batches, restarts, row numbers
+
+def forest_from_table(spark: SparkSession, d: str) -> DataFrame:
+    """Each held-out day of each station: whether the stored forest's node table gives the loaded
+    model's prediction (ML6 ML7 ML10)."""
+    from kestrel.ml import forest, pipelines
+    from kestrel.session import scratch_path
+    _, _, valid, model = _fit_tmax(spark, d)
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    scored = forest.with_forest(model.transform(valid), pipelines.FEATURES, forest.node_table(spark, path), "by_table")
+    return scored.select("station", F.col("date").cast("string").alias("date"),
+                         (F.abs(F.col("by_table") - F.col("prediction")) < 1e-9).alias("equal"))
+
+
+def forest_importances(spark: SparkSession, d: str) -> DataFrame:
+    """Feature importances from the stored node table: all are there, sum to one, and equal
+    the loaded model's (ML11)."""
+    from kestrel.ml import forest, pipelines
+    from kestrel.session import scratch_path
+    _, _, _, model = _fit_tmax(spark, d)
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    of_model = F.array(*[F.lit(float(x)) for x in model.stages[-1].featureImportances.toArray()])
+    near = F.abs(F.get(of_model, F.col("feature")) - F.col("importance")) < 1e-9
+    return forest.split_gains(spark, path).agg(F.min(near).alias("equal"), F.round(F.sum("importance"), 9).alias("total"))
+
+
+def append_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Events appended as three batches, the second twice: rows and sum per batch (SNK5)."""
+    from kestrel.session import scratch_path
+    from kestrel.sources import batches
+    ev, table = load(spark, d, "events").select("event_id", "event_type"), scratch_path(spark, "batches")
+    for k in (0, 1, 1, 2):
+        batches.append_batch(ev.filter(F.pmod("event_id", F.lit(3)) == k), table, f"b{k}")
+    back = batches.read_batches(spark, table, ev.schema)
+    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_ids"))
+
+
+def stream_restarted_fit(spark: SparkSession, d: str) -> DataFrame:
+    """The running line over events in eight files, two a micro-batch; the run breaks off in its second
+    batch, after that batch is written, and a second run goes on from the checkpoint (STM2 STM3 SNK6)."""
+    from kestrel.session import scratch_path
+    from kestrel.streaming import regression
+    source, folder, checkpoint = (scratch_path(spark, n) for n in ("points", "fits", "fit_state"))
+    ev = load(spark, d, "events")
+    tables.point_messages(ev).select("value").repartition(8).write.text(source)
+    points = regression.parse_points(regression.read_stream(spark, source, max_files_per_trigger=2))
+    fit = regression.running_fit(points)
+
+    def stop(number: int) -> None:
+        if number == 1:
+            raise InterruptedError("the run breaks off")
+
+    try:
+        regression.run_to_folder(fit, folder, checkpoint, stop)
+    except Exception as e:
+        if "the run breaks off" not in str(e):
+            raise
+    regression.run_to_folder(fit, folder, checkpoint)
+    last = regression.latest_result(spark, folder, fit.schema)
+    return last.select("n", fixed("slope", 9).alias("slope"), fixed("intercept", 9).alias("intercept"))
+
+
+#: Seed and share of the row numbers' queries.
+UNIFORM_SEED, UNIFORM_SHARE = 42, 0.1
+
+
+def key_uniforms(spark: SparkSession, d: str) -> DataFrame:
+    """Every event's number in [0, 1), and whether a sample of a tenth holds it (RND1 SRC8)."""
+    from kestrel.functions.uniform import uniform
+    u = uniform(UNIFORM_SEED, "event_id")
+    return load(spark, d, "events").select("event_id", u.alias("u"), (u < UNIFORM_SHARE).alias("sampled"))
+
+
+def uniform_crossing(spark: SparkSession, d: str) -> DataFrame:
+    """Per user, numbers of its events (by time, id) drawn until their sum reaches one; the mean count
+    tends to e (RND1 RE2)."""
+    from kestrel.functions.uniform import uniform
+    draws = load(spark, d, "events").withColumn("u", uniform(UNIFORM_SEED, "event_id"))
+    return scan.first_crossing(draws, "user_id", ["ts", "event_id"], "u", 1.0)
+
+
+def preview_membership(spark: SparkSession, d: str) -> DataFrame:
+    """A preview of 20 orders: how many rows, and how many of them are orders (LIM1)."""
+    from kestrel.sources.sinks import preview
+    orders = load(spark, d, "orders")
+    few = preview(orders, 20)
+    return few.join(orders.select(F.col("o_orderkey").alias("k")).distinct(), F.col("o_orderkey") == F.col("k"), "left") \
+        .agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("n_known"))
+
+
+QUERIES.update({f.__name__: f for f in (
+    forest_from_table, forest_importances, append_batches, stream_restarted_fit, key_uniforms, uniform_crossing,
+    preview_membership)})

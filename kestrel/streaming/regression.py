@@ -109,3 +109,33 @@ def run_to_table(spark: SparkSession, result: DataFrame, name: str | None = None
     if available_now and not ended:
         raise TimeoutError(f"the stream had not read all its input after {timeout} seconds")
     return spark.table(name)
+
+
+def run_to_folder(result: DataFrame, folder: str, checkpoint: str, after_write=None) -> None:
+    """Run a streaming aggregate in ``complete`` mode to the end of what is there, and write the
+    whole result of each micro-batch to ``folder/batch=<id>`` (STM2).
+
+    A batch's folder is overwritten, so a batch that is run again after a failure leaves one
+    copy.  A later call with the same ``checkpoint`` goes on where the last one stopped: finished batches
+    are not read again, and the state is that of the last one.  ``after_write(id)`` runs after a
+    batch's rows are written and before it counts as finished; what it raises stops the stream and is raised here.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        if after_write is not None:
+            after_write(number)
+
+    q = result.writeStream.outputMode("complete").trigger(availableNow=True) \
+        .option("checkpointLocation", checkpoint).foreachBatch(write).start()
+    try:
+        q.awaitTermination()
+    finally:
+        if q.isActive:
+            q.stop()
+
+
+def latest_result(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The result of the last micro-batch that :func:`run_to_folder` wrote."""
+    written = spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/batch=*")
+    last = written.agg(F.max("batch")).first()[0]
+    return written.filter(F.col("batch") == F.lit(last)).drop("batch")

@@ -104,3 +104,20 @@ def test_rounds_do_not_shuffle_the_edges_again(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_visited_tables_stay_few(spark, monkeypatch):
+    """A path of 40 nodes: the tables that a round looks at grow with the logarithm of the rounds."""
+    seen, kept = [], graph._visited
+
+    def counted(tiers, new):
+        out = kept(tiers, new)
+        seen.append(len(out))
+        return out
+
+    monkeypatch.setattr(graph, "_visited", counted)
+    e = spark.range(1, 40).selectExpr("id AS src", "id + 1 AS dest").union(
+        spark.range(2, 41).selectExpr("id AS src", "1L AS dest"))
+    got = sorted((r.node, r.source, r.distance) for r in graph.bfs(spark, e, 1).collect())
+    assert got == [(1, 1, 0)] + [(k, k - 1, k - 1) for k in range(2, 41)]
+    assert len(seen) == 40 and max(seen) <= 3 * (graph.MERGE - 1)

@@ -152,3 +152,47 @@ def test_label_index_is_the_indexers(spark):
     want = StringIndexer(inputCol="w", outputCol="i", handleInvalid="skip").fit(df).labels
     got = [r.label for r in scoring.label_index(df, "w").orderBy("label_index").collect()]
     assert got == want
+
+
+def test_forest_from_its_node_table(spark, tmp):
+    """Every held-out row: the stored nodes give the loaded model's prediction; importances too."""
+    import pytest
+    from pyspark.sql import functions as F
+    from kestrel.ml import forest, pipelines
+    _, _, valid, model = Q._fit_tmax(spark, SF_SMALL)
+    model.write().save(tmp + "/m")
+    nodes = forest.node_table(spark, tmp + "/m").persist()
+    assert nodes.select("tree").distinct().count() == model.stages[-1].getNumTrees
+    scored = forest.with_forest(model.transform(valid), pipelines.FEATURES, nodes, "by_table")
+    bad = scored.filter(~(F.abs(F.col("by_table") - F.col("prediction")) < 1e-9) | F.col("by_table").isNull())
+    assert scored.count() == valid.count() > 0 and bad.count() == 0
+    assert forest.node_table(spark, f"{tmp}/m/stages/1_{model.stages[-1].uid}").count() == nodes.count()
+    gains = {r.feature: r.importance for r in forest.split_gains(spark, tmp + "/m").collect()}
+    want = model.stages[-1].featureImportances
+    assert all(abs(gains.get(i, 0.0) - want[i]) < 1e-9 for i in range(len(pipelines.FEATURES)))
+    with pytest.raises(ValueError, match="no forest"):
+        forest.node_table(spark, tmp)
+
+
+def test_forest_walk_by_hand(spark, monkeypatch):
+    """Thresholds, NaN, nulls, a tree of one leaf, clashing columns, damaged tables."""
+    import pytest
+    from kestrel.ml import forest
+    nodes = [(0, 0, 0, 1.5, 1, 2, 0.0), (0, 1, None, None, None, None, 10.0), (0, 2, 1, 0.0, 3, 4, 0.0),
+             (0, 3, None, None, None, None, 20.0), (0, 4, None, None, None, None, 30.0),
+             (1, 0, None, None, None, None, 2.0)]
+    table = spark.createDataFrame(nodes, forest.NODE_SCHEMA)
+    df = spark.createDataFrame([(1.5, 9.0), (1.6, 0.0), (1.6, 0.1), (float("nan"), 0.0), (None, 0.0)],
+                               "a double, node double")
+    got = [r.p for r in forest.with_forest(df, ["a", "node"], table, "p").collect()]
+    assert got == [6.0, 11.0, 16.0, 11.0, None]
+    assert [r.p for r in forest.with_forest(df.limit(1), ["a", "node"], table.filter("tree = 1"), "p").collect()] == [2.0]
+    with pytest.raises(ValueError, match="already"):
+        forest.with_forest(df, ["a", "node"], table, "a")
+    with pytest.raises(ValueError, match="numbered"):
+        forest.with_forest(df, ["a", "node"], table.filter("node <> 1"), "p")
+    with pytest.raises(ValueError, match="without trees"):
+        forest.with_forest(df, ["a", "node"], table.limit(0), "p")
+    monkeypatch.setattr(forest, "MAX_NODES", 5)
+    with pytest.raises(ValueError, match="more than 5"):
+        forest.with_forest(df, ["a", "node"], table, "p")
