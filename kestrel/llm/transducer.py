@@ -33,7 +33,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import batched
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -46,22 +46,28 @@ from kestrel.llm.lexicon import BPE, BYTE, CONTROL, SPACE, UNKNOWN, USER_DEFINED
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _KEPT = 300_000  # cuts, and pairs, that a process remembers (twice that at most)
+_KEPT_BYTES = 64 << 20  # and their bytes (twice that at most)
+_ENTRY_BYTES = 100  # what an entry takes beside its key and value
 _RUN_BYTES = 4 << 20
 _UNKNOWN_PENALTY = 10.0
 
 
 class _Recent(dict):
-    """A mapping of bounded size: what was not used since the last full
-    generation goes."""
+    """A mapping of a bounded size and number of bytes: what was not used since the last
+    full generation goes."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, limit: int = _KEPT_BYTES):
         super().__init__()
-        self.size, self.old = size, {}
+        self.size, self.limit, self.held, self.old = size, limit, 0, {}
 
     def keep(self, key, value):
-        if len(self) >= self.size:
-            self.old = dict(self)
+        own = getsizeof(key) + getsizeof(value) + _ENTRY_BYTES
+        if own > self.limit // 4:  # not worth a generation
+            return value
+        if len(self) >= self.size or self.held + own > self.limit:
+            self.old, self.held = dict(self), 0
             self.clear()
+        self.held += own
         self[key] = value
         return value
 
@@ -192,12 +198,13 @@ class Transducer:
             out.extend(lexicon.unknown_ids(x if isinstance(x, str) else chr(x - size)) if own is None else (own,))
         return out.tobytes()
 
-    def _find(self, cuts: set[str]) -> None:
-        """Finds and keeps the paths of new cuts."""
+    def _find(self, cuts: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Finds, keeps and gives the paths of new cuts."""
         texts = sorted(c.replace(" ", SPACE) for c in cuts)
         found = self._bpe_paths(texts) if self.lexicon.kind == BPE else map(self._unigram_path, texts)
         for text, path in zip(texts, found):
-            self.paths.keep(text.replace(SPACE, " "), self._pack(path))
+            cut = text.replace(SPACE, " ")
+            yield cut, self.paths.keep(cut, self._pack(path))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as native 32-bit integers."""
@@ -205,15 +212,7 @@ class Transducer:
         cuts = [self.cut.findall(t) if self.cut else [t] if t else [] for t in spaced]
         new = {c for own in cuts for c in own}
         kept = {c: path for c in new if (path := self.paths[c]) is not None}
-        new = new.difference(kept)
-        if new:
-            if len(new) > _KEPT // 2:  # more than is remembered: in parts
-                for part in batched(sorted(new), _KEPT // 2):
-                    self._find(set(part))
-                    kept.update((c, self.paths[c]) for c in part)
-            else:
-                self._find(new)
-                kept.update((c, self.paths[c]) for c in new)
+        kept.update(self._find(new.difference(kept)))
         return [b"".join(map(kept.__getitem__, own)) for own in cuts]
 
     def encode_packed(self, text: str) -> bytes:
