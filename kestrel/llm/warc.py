@@ -9,7 +9,10 @@ digests of block and payload.  Of records with equal payloads of at least
 response and the others are revisits that refer to it and carry no payload.
 
 Files are read whole by one task each (as Spark's ``binaryFile``: up to 2 GB;
-archives are usually held to 1 GB) and unpacked as a stream, record by record.
+archives are usually held to 1 GB), once, and unpacked as a stream, record by record, into a
+table.  Revisits are found and written from its narrow columns.  Payloads do not move: a bitmap of
+a fixed size tells which records can't be revisits, and these are written where they lie.  Only a
+record that the bitmap takes for a revisit by mistake meets an exact join.
 They are written with Spark's text writer, one record a row and the WARC
 record end as line separator, compressed as one gzip stream per file.
 
@@ -36,10 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import stored
+from kestrel.llm.common import bitmap, marked, stored
 from kestrel.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
+BITS = 23
 ID_HEADER = "X-Page-Id"
 WARC_END = "\r\n\r\n"
 _OUT_BYTES = 4 << 20
@@ -180,7 +184,8 @@ def record_id(path: str, offset: int) -> str:
 def warc_record(rec: dict, path: str, revisit_of: tuple[str, str] | None = None) -> bytes:
     """The WARC record of an ARC record, without the four bytes that end it.
 
-    ``revisit_of``: id and URL of the response that a revisit refers to.
+    ``revisit_of``: id and URL of the response that a revisit refers to.  The payload's digest is
+    made from ``content`` unless ``rec`` has it; then the content of a revisit may end before the payload.
     """
     content = rec["content"]
     start = _payload_at(content)
@@ -194,7 +199,7 @@ def warc_record(rec: dict, path: str, revisit_of: tuple[str, str] | None = None)
             ("WARC-Date", warc_date(rec.get("Archive-date", "")))]
     if kind != "warcinfo":
         head += [("WARC-Target-URI", rec["URL"]), ("WARC-IP-Address", rec.get("IP-address", "0.0.0.0")),
-                 ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(content[start:]).hexdigest())]
+                 ("WARC-Payload-Digest", "sha256:" + (rec.get("digest") or hashlib.sha256(content[start:]).hexdigest()))]
     head.append(("WARC-Block-Digest", "sha256:" + hashlib.sha256(block).hexdigest()))
     if revisit_of:
         head += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", revisit_of[0]),
@@ -243,65 +248,89 @@ def _rows(rows: Iterator[tuple], schema: pa.Schema, at: int | None = None, every
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def arc_index(spark: SparkSession, path: str, id_header: str = ID_HEADER) -> DataFrame:
-    """(path, offset, id, url, digest, size) of every captured ARC record, stored."""
-    schema = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("id", pa.int64()), ("url", pa.string()),
-                        ("digest", pa.string()), ("size", pa.int64())])
+#: Columns of :func:`arc_table`.
+_ARC_TABLE = pa.schema([
+    ("path", pa.string()), ("offset", pa.int64()), ("id", pa.int64()), ("url", pa.string()), ("digest", pa.string()),
+    ("size", pa.int64()), ("date", pa.string()), ("ip", pa.string()), ("mime", pa.string()), ("short", pa.int64()),
+    ("head", pa.binary()), ("record", pa.binary())])
 
+
+def arc_table(spark: SparkSession, path: str, id_header: str = ID_HEADER) -> DataFrame:
+    """A row per ARC record, stored: path, offset, id, url, digest and size of its payload, date, ip, mime,
+    short, head (the HTTP head), record (the WARC record that it becomes unless it is a revisit).
+    The files' own records have no digest."""
     def run(batches):
         def rows():
             for file, content in _contents(batches):
                 for rec in arc_records(content):
-                    if not rec["head"]:
-                        start = _payload_at(rec["content"])
-                        payload = rec["content"][start:]
-                        yield (file, rec["offset"], _number(_http_header(rec["content"][:start], id_header)),
-                               rec["URL"], hashlib.sha256(payload).hexdigest(), len(payload))
-        yield from _rows(rows(), schema)
+                    block, record = rec["content"], warc_record(rec, file)
+                    if rec["head"]:
+                        yield (file, rec["offset"], *[None] * 9, record)
+                        continue
+                    start = _payload_at(block)
+                    yield (file, rec["offset"], _number(_http_header(block[:start], id_header)), rec["URL"],
+                           hashlib.sha256(block[start:]).hexdigest(), len(block) - start, rec.get("Archive-date"),
+                           rec.get("IP-address"), rec.get("Content-type"), rec["short"], block[:start], record)
+        yield from _rows(rows(), _ARC_TABLE, len(_ARC_TABLE) - 1)
 
     return stored(_archives(spark, path).mapInArrow(
-        run, "path string, offset long, id long, url string, digest string, size long"), "arc-index")
+        run, "path string, offset long, id long, url string, digest string, size long, date string, ip string, "
+             "mime string, short long, head binary, record binary"), "arc-table")
 
 
-def revisits(index: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(path, offset, o_path, o_offset, o_url) of the records that repeat an
-    earlier payload, and the place of that payload's response; stored."""
+def revisits(table: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """The records that repeat an earlier payload, without ``record``, with place and URL of that
+    payload's response (o_path, o_offset, o_url); stored."""
+    index = table.drop("record").filter((F.col("size") >= min_bytes) & F.col("digest").isNotNull())
     place = F.struct(F.col("id").isNull().alias("n"), "id", "path", "offset", "url")
-    repeated = stored(index.filter(F.col("size") >= min_bytes).groupBy("digest")
-                      .agg(F.min(place).alias("o"), F.count("*").alias("copies")).filter("copies > 1")
-                      .select("digest", "o"), "repeated")
-    return stored(index.filter(F.col("size") >= min_bytes).join(repeated, "digest")
+    repeated = stored(index.groupBy("digest").agg(F.min(place).alias("o"), F.count("*").alias("copies"))
+                      .filter("copies > 1").select("digest", "o"), "repeated")
+    return stored(index.join(repeated, "digest")
                   .filter((F.col("path") != F.col("o.path")) | (F.col("offset") != F.col("o.offset")))
-                  .select("path", "offset", F.col("o.path").alias("o_path"), F.col("o.offset").alias("o_offset"),
+                  .select(*index.columns, F.col("o.path").alias("o_path"), F.col("o.offset").alias("o_offset"),
                           F.col("o.url").alias("o_url")), "revisits")
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES,
-            id_header: str = ID_HEADER) -> None:
-    """Writes the WARC files of the ARC files under ``arc_path``."""
-    again = revisits(arc_index(spark, arc_path, id_header), min_bytes)
-    per_file = again.groupBy("path").agg(F.collect_list(F.struct("offset", "o_path", "o_offset", "o_url")).alias("again"))
+def _revisit_records(again: DataFrame) -> DataFrame:
     schema = pa.schema([("record", pa.binary())])
 
     def run(batches):
         def rows():
             for batch in batches:
-                for file, content, known in zip(*(batch.column(c) for c in ("path", "content", "again"))):
-                    file = file.as_py()
-                    of = {x["offset"]: (record_id(x["o_path"], x["o_offset"]), x["o_url"]) for x in known.as_py() or []}
-                    for rec in arc_records(content.as_py()):
-                        yield (warc_record(rec, file, of.get(rec["offset"])),)
+                for r in batch.to_pylist():
+                    rec = {"content": r["head"], "head": False, "offset": r["offset"], "URL": r["url"], "short": r["short"],
+                           "digest": r["digest"]}
+                    rec |= {k: r[c] for k, c in (("Archive-date", "date"), ("IP-address", "ip"), ("Content-type", "mime"))
+                            if r[c] is not None}
+                    yield (warc_record(rec, r["path"], (record_id(r["o_path"], r["o_offset"]), r["o_url"])),)
         yield from _rows(rows(), schema, 0)
 
-    # a file's list is no longer than the file; the archives' side must not be dealt anew
-    _archives(spark, arc_path).join(F.broadcast(per_file) if _small(again) else per_file, "path", "left") \
-        .mapInArrow(run, "record binary").select(F.col("record").cast("string")) \
-        .write.option("lineSep", WARC_END).option("compression", "gzip").text(warc_path)
+    return again.mapInArrow(run, "record binary")
+
+
+def _others(table: DataFrame, again: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``record`` of the rows of ``table`` that are not in ``again``: those that the bitmap of ``again``
+    lets pass, which stay where they are, and those that it takes for revisits by mistake."""
+    key, place = F.xxhash64("path", "offset"), ["path", "offset"]
+    held = bitmap(again.select(key.alias("__hash")), "__hash", bits)
+    # found from the narrow columns, so that payloads move only if they are among (or look like) them
+    taken = marked(table.select(*place), key, held, bits).filter("__marked").select(*place)
+    wrong = stored(taken.join(again.select(*place), place, "left_anti"), "unlike")
+    wrong_held = bitmap(wrong.select(key.alias("__hash")), "__hash", bits)
+    rows = marked(table.select(*place, "record"), key, held, bits)
+    few = marked(rows.filter("__marked").drop("__marked"), key, wrong_held, bits).filter("__marked")
+    return rows.filter("not __marked").select("record"), few.join(wrong, place, "left_semi").select("record")
 
 
-def _small(again: DataFrame, rows: int = 200_000) -> bool:
-    """Whether a table of revisits (under 1 KB a row) is small enough to broadcast."""
-    return again.limit(rows + 1).count() <= rows
+def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES,
+            id_header: str = ID_HEADER, bits: int = BITS) -> None:
+    """Writes the WARC files of the ARC files under ``arc_path``.  ``bits``: size of the bitmap of
+    revisits; a fuller one moves more payloads, nothing else."""
+    table = arc_table(spark, arc_path, id_header)
+    again = revisits(table, min_bytes)
+    passing, mistaken = _others(table, again, bits)
+    passing.unionByName(mistaken).unionByName(_revisit_records(again)).select(F.col("record").cast("string")) \
+        .write.option("lineSep", WARC_END).option("compression", "gzip").text(warc_path)
 
 
 def read_warc(spark: SparkSession, path: str, id_header: str = ID_HEADER) -> DataFrame:

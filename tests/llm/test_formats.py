@@ -465,3 +465,43 @@ def test_copies_do_not_change_the_model(spark, monkeypatch):
         docs = spark.createDataFrame([(t,) for t in texts * copies], "text string").repartition(5)
         pii.train(docs, sample_docs=1000, sample_tokens=300)
     assert seen[0] == seen[1] and 300 <= len(seen[0][1]) < 310
+
+
+def test_archives_with_many_revisits_move_no_payloads(spark, tmp_path, monkeypatch):
+    """A small, crowded bitmap takes other records for revisits; the result stays the same.  Records that
+    it lets pass meet no exchange but broadcasts."""
+    pages = spark.range(1200).selectExpr("id AS page_id", "concat('http://h/', id) AS url",
+                                         "repeat(concat('<p>', if(id % 3 = 0, id, id % 50), '</p>'), 40) AS html")
+    monkeypatch.setattr(warc, "BITS", 16)
+    seen = []
+    others = warc._others
+
+    def crowded(table, again, bits):
+        out = others(table, again, 16)
+        seen.append(out[0]._jdf.queryExecution().executedPlan().toString())
+        seen.append((again.count(), out[0].count(), out[1].count()))
+        return out
+
+    monkeypatch.setattr(warc, "_others", crowded)
+    got = {r["id"]: r for r in warc.convert_pages(pages).collect()}
+    assert len(got) == 1200
+    want, first = {}, {}
+    for r in pages.orderBy("page_id").collect():
+        want[r.page_id] = first.get(r.html)
+        first.setdefault(r.html, r.page_id)
+    assert {k: r["refers_to"] for k, r in got.items()} == want
+    assert all(r["record_type"] == ("response" if want[k] is None else "revisit") for k, r in got.items())
+    plan, (n_again, n_passing, n_mistaken) = seen
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert n_mistaken > 0 and n_again == sum(x is not None for x in want.values())
+    files = spark.sparkContext.defaultParallelism
+    assert 1200 <= n_again + n_passing + n_mistaken <= 1200 + files + 1
+
+
+def test_paths_are_remembered_by_bytes():
+    kept = transducer._Recent(1000, 4000)
+    for k in range(100):
+        kept.keep(str(k), bytes(50))
+        assert kept.held <= 4000
+    assert kept["99"] == bytes(50) and kept["0"] is None and len(kept) + len(kept.old) < 40
+    assert kept.keep("long", bytes(3000)) == bytes(3000) and kept["long"] is None
