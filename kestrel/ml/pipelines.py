@@ -9,6 +9,9 @@ splits.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from kestrel.functions import colour
 from kestrel.ml.scoring import scoring_model
 from kestrel.operators.joins import previous_day_join
+from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.sources.files import rows as literal_rows
 
 SEED = 1234
@@ -29,6 +33,9 @@ SEED = 1234
 #: Labelled rows that a model is fitted on at most; every row is scored.
 MAX_TRAIN_ROWS = 200_000
 
+#: Training rows in a task of a learner that passes over them a hundred times.
+ROWS_PER_TASK = 20_000
+
 
 def key_bucket(keys: list[str], buckets: int = 4) -> Column:
     """Bucket 0 .. buckets - 1 of a row's keys, from the MD5 of their text."""
@@ -50,11 +57,22 @@ def bounded(train: DataFrame, keys: list[str], max_rows: int = MAX_TRAIN_ROWS) -
     return train if every <= 1 else train.filter(F.pmod(F.xxhash64(*keys), F.lit(every)) == 0)
 
 
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` persisted within the block.  Derived columns are computed once here:
+    a filter on a derived column repeats its expression, in every pass, so persist
+    first and filter the persisted rows."""
+    from pyspark import StorageLevel
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with the training rows persisted for the duration of the fit:
-    iterative learners (L-BFGS, tree levels) pass over them many times.
-    (Spreading a one-split input over more tasks was measured slower here:
-    each L-BFGS pass pays per-task overhead that outweighs the compute.)"""
+    iterative learners (L-BFGS, tree levels) pass over them many times."""
     from pyspark import StorageLevel
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -63,6 +81,16 @@ def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
         cached.unpersist()
 
 
+def fit_dealt(pipeline: Pipeline, train: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> PipelineModel:
+    """:func:`fit_cached` with the training rows dealt evenly over a task per
+    ``rows_per_task`` rows, for L-BFGS: its passes would otherwise take as many
+    cores as the input has splits, often one.  Up to ``rows_per_task`` rows stay as they
+    are: there a task's overhead outweighs the compute."""
+    with stored(train) as kept:
+        tasks = -(-kept.count() // rows_per_task)
+        return fit_cached(pipeline, spread_for_cpu(kept, tasks if tasks > 1 else None))
+
+
 # ----------------------------------------------------------- classification
 
 def mlp_pipeline(features: list[str], label: str, n_classes: int, hidden: int = 30,
@@ -97,16 +125,17 @@ def f1_score(predictions: DataFrame) -> float:
 
 def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
     """Fit RGB -> word and RGB -> LAB -> word classifiers; one score row each."""
-    spark = colours.sparkSession
-    train, valid = split(labelled(colours, ["R", "G", "B", "word"]), ["R", "G", "B", "word"])
-    train = bounded(train, ["R", "G", "B", "word"])
+    spark, columns = colours.sparkSession, ["R", "G", "B", "word"]
     n = len(colour.COLOUR_WORDS)
     rows = []
-    for name, feats, sql in (
-            ("rgb", ["R", "G", "B"], None),
-            ("lab", ["labL", "labA", "labB"], colour.lab_statement(["R", "G", "B", "word"]))):
-        model = fit_cached(mlp_pipeline(feats, "word", n, sql=sql, seed=seed), train)
-        rows.append((name, float(f1_score(model.transform(valid)))))
+    with stored(colours.select(*columns)) as kept:
+        train, valid = split(labelled(kept, columns), columns)
+        train = bounded(train, columns)
+        for name, feats, sql in (
+                ("rgb", ["R", "G", "B"], None),
+                ("lab", ["labL", "labA", "labB"], colour.lab_statement(columns))):
+            model = fit_dealt(mlp_pipeline(feats, "word", n, sql=sql, seed=seed), train)
+            rows.append((name, float(f1_score(model.transform(valid)))))
     return literal_rows(spark, rows, "model string, f1 double")
 
 
@@ -124,7 +153,7 @@ def vector_label_scores(df: DataFrame, key: str, vector: str, label: str, seed:
         MultilayerPerceptronClassifier(layers=[dim, 30, n_classes], maxIter=100,
                                        blockSize=128, seed=seed, labelCol="label_index",
                                        featuresCol="features_in")])
-    model = fit_cached(pipe, train)
+    model = fit_dealt(pipe, train)
     score = float(f1_score(model.transform(valid)))
     return literal_rows(spark, [(train.count(), valid.count(), score)],
                                  "n_train long, n_valid long, f1 double")

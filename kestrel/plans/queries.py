@@ -631,9 +631,10 @@ def ml_grid(spark: SparkSession, d: str) -> DataFrame:
     on the part colours, with the predicted word attached (RE4 ML4)."""
     from kestrel.ml import pipelines
     columns = ["R", "G", "B", "word"]
-    model = pipelines.fit_cached(
-        pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)),
-        pipelines.bounded(pipelines.labelled(_labelled_colours(spark, d), columns), columns))
+    with pipelines.stored(_labelled_colours(spark, d).select(*columns)) as colours:
+        model = pipelines.fit_dealt(
+            pipelines.mlp_pipeline(["R", "G", "B"], "word", len(colour.COLOUR_WORDS)),
+            pipelines.bounded(pipelines.labelled(colours, columns), columns))
     return pipelines.grid_predictions(model, colour.lab_grid(spark, 70.0, 256))
 
 

@@ -196,3 +196,50 @@ def test_forest_walk_by_hand(spark, monkeypatch):
     monkeypatch.setattr(forest, "MAX_NODES", 5)
     with pytest.raises(ValueError, match="more than 5"):
         forest.with_forest(df, ["a", "node"], table, "p")
+
+
+def test_colour_words_are_made_once_and_fits_are_dealt(spark, monkeypatch):
+    """However many passes a fit and its scores take, a row's word is computed once, and the training rows of a
+    one-split input lie in a task per ROWS_PER_TASK rows, each row once."""
+    from functools import partial
+
+    from pyspark.sql import functions as F
+
+    from kestrel.ml import pipelines
+    made, dealt, fit, n = spark.sparkContext.accumulator(0), [], pipelines.fit_cached, 45_000
+
+    def word(r):
+        made.add(1)
+        return None if r == 7 else ("red", "green", "blue")[r % 3]
+
+    def seen(pipeline, train):
+        dealt.append(train.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        return fit(pipeline, train)
+
+    monkeypatch.setattr(pipelines, "mlp_pipeline", partial(pipelines.mlp_pipeline, max_iter=2))
+    monkeypatch.setattr(pipelines, "fit_cached", seen)
+    colours = spark.range(0, n, 1, 1).selectExpr(*[f"CAST(id * {k} % 256 AS INT) AS {c}" for c, k in (("R", 1), ("G", 3), ("B", 7))]) \
+        .withColumn("word", F.udf(word, "string")("R"))
+    assert [r.model for r in pipelines.colour_models(colours).collect()] == ["rgb", "lab"]
+    assert made.value == n
+    rows = pipelines.split(pipelines.labelled(colours, ["R", "G", "B", "word"]), ["R", "G", "B", "word"])[0].count()
+    assert [sum(x) for x in dealt] == [rows, rows]
+    assert all(len(x) == -(-rows // pipelines.ROWS_PER_TASK) > 1 and max(x) - min(x) <= 1 for x in dealt)
+    # the grid's model takes the same steps
+    before = made.value
+    monkeypatch.setattr(Q, "_labelled_colours", lambda *_: colours)
+    assert Q.ml_grid(spark, SF_SMALL).count() == 65_536 and made.value == before + n
+    assert len(dealt[2]) == 3 and sum(dealt[2]) == sum(i % 256 != 7 for i in range(n))
+
+
+def test_few_training_rows_stay_where_they_are(spark):
+    from kestrel.ml import pipelines
+
+    class Parts:
+        def fit(self, df):
+            return df.rdd.glom().map(len).collect()
+
+    one, four = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 4)
+    assert pipelines.fit_dealt(Parts(), one, 100) == [100] and pipelines.fit_dealt(Parts(), four, 100) == [25] * 4
+    assert sorted(pipelines.fit_dealt(Parts(), one, 30)) == [25] * 4
+    assert pipelines.fit_dealt(Parts(), one.limit(0), 30) == [] or sum(pipelines.fit_dealt(Parts(), one.limit(0), 30)) == 0
