@@ -30,7 +30,8 @@ from kestrel.sources.files import rows as literal_rows
 SEED = 1234
 
 
-#: Labelled rows that a model is fitted on at most; every row is scored.
+#: Labelled rows that a model is fitted on at most, where :func:`bounded` is called
+#: (not in :func:`colour_models`); every row is scored.
 MAX_TRAIN_ROWS = 200_000
 
 #: Training rows in a task of a learner that passes over them a hundred times.
@@ -124,13 +125,13 @@ def f1_score(predictions: DataFrame) -> float:
 
 
 def colour_models(colours: DataFrame, seed: int = SEED) -> DataFrame:
-    """Fit RGB -> word and RGB -> LAB -> word classifiers; one score row each."""
+    """Fit RGB -> word and RGB -> LAB -> word classifiers on every training row;
+    one score row each."""
     spark, columns = colours.sparkSession, ["R", "G", "B", "word"]
     n = len(colour.COLOUR_WORDS)
     rows = []
     with stored(colours.select(*columns)) as kept:
         train, valid = split(labelled(kept, columns), columns)
-        train = bounded(train, columns)
         for name, feats, sql in (
                 ("rgb", ["R", "G", "B"], None),
                 ("lab", ["labL", "labA", "labB"], colour.lab_statement(columns))):

@@ -243,3 +243,24 @@ def test_few_training_rows_stay_where_they_are(spark):
     assert pipelines.fit_dealt(Parts(), one, 100) == [100] and pipelines.fit_dealt(Parts(), four, 100) == [25] * 4
     assert sorted(pipelines.fit_dealt(Parts(), one, 30)) == [25] * 4
     assert pipelines.fit_dealt(Parts(), one.limit(0), 30) == [] or sum(pipelines.fit_dealt(Parts(), one.limit(0), 30)) == 0
+
+
+def test_colour_models_fit_every_training_row(spark, monkeypatch):
+    """More training rows than MAX_TRAIN_ROWS: both fits get all of them, each once."""
+    from functools import partial
+
+    from kestrel.ml import pipelines
+    seen, fit, columns = [], pipelines.fit_cached, ["R", "G", "B", "word"]
+
+    def counted(pipeline, train):
+        seen.append((train.count(), train.distinct().count()))
+        return fit(pipeline, train)
+
+    monkeypatch.setattr(pipelines, "mlp_pipeline", partial(pipelines.mlp_pipeline, max_iter=1))
+    monkeypatch.setattr(pipelines, "fit_cached", counted)
+    colours = spark.range(0, pipelines.MAX_TRAIN_ROWS * 3 // 2, 1, 4).selectExpr(
+        "CAST(id % 256 AS INT) AS R", "CAST(id DIV 256 % 256 AS INT) AS G", "CAST(id DIV 65536 AS INT) AS B",
+        "CASE WHEN id % 1000 <> 7 THEN element_at(array('red', 'green', 'blue'), CAST(id % 3 + 1 AS INT)) END AS word")
+    assert [r.model for r in pipelines.colour_models(colours).collect()] == ["rgb", "lab"]
+    rows = pipelines.split(pipelines.labelled(colours, columns), columns)[0].count()
+    assert rows > pipelines.MAX_TRAIN_ROWS and seen == [(rows, rows)] * 2
